@@ -32,6 +32,7 @@ def materialise(df: DataFrame) -> DataFrame:
     """Write df to the shared folder and read it back: its lineage ends there, and lost executors lose nothing of it."""
     path = f"{shared_dir(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    df.sparkSession.sparkContext._jvm.System.gc()  # lets Spark delete the shuffle files behind the table
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, secret_scan, token_counts
+from . import bpe_codec, near_dedup, secret_scan, substring_dedup, token_counts
 from ._common import table
 
 
@@ -12,6 +12,10 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_dedup(table(spark, sf_dir, "documents"))
+
+
 def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.encode_decode(table(spark, sf_dir, "documents"), digests=True)
 
@@ -20,5 +24,18 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_secret_scan, op5_bpe_codec, op6_token_counts)}
-ORACLE_SQL: dict[str, str] = {}
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_dedup(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op3_secret_scan,
+        op4_substring_dedup,
+        op5_bpe_codec,
+        op6_token_counts,
+        op10_near_dedup,
+    )
+}
+ORACLE_SQL = {"op4_substring_dedup": substring_dedup.ORACLE_SQL, "op10_near_dedup": near_dedup.ORACLE_SQL}
