@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, near_dedup, secret_scan, substring_dedup, token_counts
+from . import bpe_codec, near_dedup, packing, secret_scan, substring_dedup, token_counts
 from ._common import table
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
 
@@ -31,6 +35,7 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op2_packing,
         op3_secret_scan,
         op4_substring_dedup,
         op5_bpe_codec,
