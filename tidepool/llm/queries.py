@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, near_dedup, packing, secret_scan, substring_dedup, token_counts
+from . import bpe_codec, language_id, near_dedup, packing, quality_rules, secret_scan, spot_signatures, substring_dedup, token_counts
 from ._common import table
 
 
@@ -28,6 +28,18 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spot_signatures.compare_edited(table(spark, sf_dir, "documents"))
+
+
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_dedup(table(spark, sf_dir, "documents"))
 
@@ -40,6 +52,9 @@ QUERIES = {
         op4_substring_dedup,
         op5_bpe_codec,
         op6_token_counts,
+        op7_quality_rules,
+        op8_language_id,
+        op9_fingerprints,
         op10_near_dedup,
     )
 }
