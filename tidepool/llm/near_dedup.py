@@ -9,9 +9,10 @@ Steps, all of them joins and aggregates on Spark:
 1. documents of equal shingle sets fall into one class (128-bit sum of the set's hashes); one id stands for it;
 2. in every bucket each member is held against one member (the hub), and confirmed on the full sets;
 3. what is left are buckets with members of several components. There a member can only be linked across
-   components by shingles that occur in another component too; members with too few of these go, and the
-   remaining pairs across components are confirmed on the full sets. This is exact for what the tables hold,
-   without pairs inside the large groups of copies;
+   components by shingles that occur in another component too; members with too few of these go. The rest are
+   held against the member with the largest share of such shingles, and at last all pairs across components
+   that are left are confirmed on the full sets. This is exact for what the tables hold, without pairs inside
+   the large groups of copies;
 4. components by star steps.
 
 A document without words or text (null too) has an empty set and is linked with nothing; one of fewer than
@@ -34,6 +35,8 @@ SHINGLE = 5
 #: 100 * intersection >= SHARE * union
 SHARE = 75
 REPEATS = 12
+#: Times that members of several components in a bucket are held against a new hub before all their pairs are.
+HUB_ROUNDS = 2
 #: Of the 48 minhashes of two documents of likeness 0.75, 36 agree on average; 18 or fewer with a chance below 1e-8.
 LEAST_EQUAL = 19
 
@@ -173,13 +176,13 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     links = materialise(_confirmed(stars, reps, sets).union(tied))
     found = materialise(components(links))
 
-    # buckets whose members are in several components
-    placed = buckets.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("comp"))
-    mixed = placed.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x < y").select("key")
-    rest = materialise(placed.join(mixed, "key", "left_semi").join(reps.select("rep", "n_shingles"), "rep"))
-    more = materialise(_confirmed(_across(rest, sets), reps, sets))
-    if not more.isEmpty():
-        found = components(links.union(more))
+    # buckets whose members are in several components: further hubs, then all pairs that are left
+    for last in [False] * HUB_ROUNDS + [True]:
+        live = _live(buckets, found, reps, sets)
+        more = materialise(_confirmed(_pairs(live, hubs_only=not last), reps, sets))
+        if not more.isEmpty():
+            links = materialise(links.union(more))
+            found = materialise(components(links))
 
     placed = member.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("doc_id", F.coalesce("component", "rep").alias("component_id"))
     by_id = placed.groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
@@ -191,12 +194,25 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     )
 
 
-def _across(rest: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) of one bucket and two components that could be alike, given the shingles found in other components.
+def keep_one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of docs, all columns as they are, of the smallest id of each component; of rows that share that id, one of each text.
+
+    Rows whose id is null are kept.
+    """
+    gone = near_dedup(docs.filter("doc_id is not null")).filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
+    left = docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    return left.dropDuplicates(["doc_id", "text"])
+
+
+def _live(buckets: DataFrame, found: DataFrame, reps: DataFrame, sets: DataFrame) -> DataFrame:
+    """(key, rep, comp, n_shingles, most) of bucket members that could be alike with one of another component.
 
     If c of a document's n shingles occur in other components, its likeness to a document of m shingles there
-    is at most c / (n + m - c); so m can be at most c * (100 + SHARE) / SHARE - n.
+    is at most c / (n + m - c); so m can be at most c * (100 + SHARE) / SHARE - n, here called most.
     """
+    placed = buckets.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("comp"))
+    mixed = placed.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x < y").select("key")
+    rest = materialise(placed.join(mixed, "key", "left_semi").join(reps.select("rep", "n_shingles"), "rep"))
     node = rest.select("rep", "comp", "n_shingles").distinct()
     rows = sets.join(node.select(F.col("rep").alias("doc_id"), "comp"), "doc_id").select(F.col("doc_id").alias("rep"), "comp", F.explode("shingles").alias("h"))
     abroad = rows.groupBy("h").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x < y").select("h")
@@ -209,11 +225,22 @@ def _across(rest: DataFrame, sets: DataFrame) -> DataFrame:
     )
     live = rest.join(most, "rep")
     least = live.groupBy("key").agg(F.min("n_shingles").alias("least"), F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x < y").select("key", "least")
-    live = materialise(live.join(least, "key").filter("most >= least").select("key", "rep", "comp", "n_shingles", "most"))
+    return materialise(live.join(least, "key").filter("most >= least").select("key", "rep", "comp", "n_shingles", "most"))
+
+
+def _pairs(live: DataFrame, hubs_only: bool) -> DataFrame:
+    """Pairs (a, b) of one bucket and two components; with hubs_only those with the member that most others could be like."""
     a, b = live.toDF("key", "a", "comp_a", "n_a", "most_a"), live.toDF("key", "b", "comp_b", "n_b", "most_b")
-    fits = (F.col("comp_a") < F.col("comp_b")) & (F.col("n_a") <= F.col("most_b")) & (F.col("n_b") <= F.col("most_a"))
+    if hubs_only:
+        central = F.struct((F.col("most_a") / F.col("n_a")).alias("share"), (-F.col("a")).alias("first"))
+        hub = a.groupBy("key").agg(F.max_by(F.struct("a", "comp_a", "n_a", "most_a"), central).alias("hub"))
+        a = hub.select("key", "hub.*")
+        fits = F.col("comp_a") != F.col("comp_b")
+    else:
+        fits = F.col("comp_a") < F.col("comp_b")
+    fits &= (F.col("n_a") <= F.col("most_b")) & (F.col("n_b") <= F.col("most_a"))
     fits &= 100 * F.least("n_a", "n_b") >= SHARE * F.greatest("n_a", "n_b")
-    return a.join(b, (a["key"] == b["key"]) & fits).select("a", "b").distinct()
+    return a.join(b, (a["key"] == b["key"]) & fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 ORACLE_SQL = """

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, language_id, near_dedup, packing, quality_rules, secret_scan, spot_signatures, substring_dedup, token_counts
+from . import bpe_codec, html_extract, language_id, near_dedup, packing, quality_rules, secret_scan, spot_signatures, substring_dedup, token_counts
 from ._common import table
 
 
+def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -47,6 +51,7 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_html_extract,
         op2_packing,
         op3_secret_scan,
         op4_substring_dedup,
