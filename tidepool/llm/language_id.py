@@ -133,9 +133,9 @@ def fit(docs: DataFrame, *, sample: int = SAMPLE, epochs: int = 6) -> dict:
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["bucket", "n"])
 
-    found = docs.select("text").mapInArrow(frequencies, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    found = docs.select("text").mapInArrow(frequencies, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     df = np.zeros(BUCKETS)
-    df[found["bucket"].to_numpy(np.int64)] = found["n"].to_numpy(float)
+    df[found["bucket"].to_numpy()] = found["n"].to_numpy()
     idf = np.log((1 + sum(counts.values())) / (1 + df)) + 1
 
     quota = max(5, sample // len(languages))
@@ -154,7 +154,7 @@ def fit(docs: DataFrame, *, sample: int = SAMPLE, epochs: int = 6) -> dict:
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(at, pa.list_(pa.int32())), pa.array(n, pa.list_(pa.int32()))], ["k", "lang", "at", "n"])
 
     rows = picked.select(F.crc32(F.concat(F.lit("order"), F.col("doc_id").cast("string"))).alias("k"), "text", "lang")
-    rows = rows.mapInArrow(vectors, "k long, lang string, at array<int>, n array<int>").toPandas().sort_values("k", kind="stable")
+    rows = rows.mapInArrow(vectors, "k long, lang string, at array<int>, n array<int>").toArrow().to_pandas().sort_values("k", kind="stable")
     examples = [(a, SCALE * n / n.sum() * idf[a], languages.index(k)) for a, n, k in zip(rows["at"], rows["n"], rows["lang"]) if len(a)]
     held, used = examples[::5], [e for i, e in enumerate(examples) if i % 5]
     model = FtrlSoftmax(BUCKETS, len(languages))
