@@ -47,12 +47,13 @@ def token_set(a: str, b: str) -> float:
 
 
 def partial(a: str, b: str) -> float:
-    """The shorter string against each piece of the longer one of its length, pieces cut off by the ends included."""
+    """The shorter string against each piece of the longer one of its length, pieces cut off by the ends included; both ways if they are of one length."""
     short, long = sorted((a, b), key=len)
     if not short:
         return 100.0 if not long else 0.0
     n = len(short)
-    return max(ratio(short, long[max(0, i) : i + n]) for i in range(1 - n, len(long)))
+    ways = [(short, long), (long, short)] if n == len(long) else [(short, long)]
+    return max(ratio(s, t[max(0, i) : i + n]) for s, t in ways for i in range(1 - n, len(t)))
 
 
 def _pairwise(function):

@@ -85,3 +85,21 @@ def char_batches(df: DataFrame, keys: list[str], order: list[str], text: str, mo
         lambda s, n: F.when((s["used"] > 0) & (s["used"] + n > most), F.struct((s["batch"] + 1).alias("batch"), n.alias("used"))).otherwise(F.struct(s["batch"].alias("batch"), (s["used"] + n).alias("used"))),
     )
     return df.withColumn("batch", fold["batch"])
+
+
+def rediscover(lost: DataFrame, results: DataFrame, pages: DataFrame, sources: DataFrame, foreign: tuple[str, ...] = ()) -> DataFrame:
+    """Ranked candidates for lost(name, old_url) from results(name, url) and what was fetched of them, pages(url, status, body).
+
+    A candidate is confirmed if its page was read, names the organisation and the region, and its host isn't another
+    source's. `apply` marks the ones that may replace the old address.
+    """
+    from .matching import claimed_hosts
+
+    found = results.join(lost, "name").dropDuplicates(["name", "url"])
+    seen = host_score(found, foreign=foreign).filter("host_score > 0").join(pages.select("url", "status", "body"), "url", "left")
+    read = F.coalesce(F.col("status") == 200, F.lit(False))
+    seen = seen.withColumn("reachable", read).withColumn("named", page_confirms(F.col("name"), F.col("body").cast("string")))
+    owned = claimed_hosts(seen, sources).withColumn("confirmed", F.col("reachable") & F.col("named") & F.col("claimed_by").isNull())
+    ranked = rank_candidates(owned)
+    chosen = to_apply(ranked).select("name", "url").withColumn("apply", F.lit(True))
+    return ranked.join(chosen, ["name", "url"], "left").withColumn("apply", F.coalesce("apply", F.lit(False))).drop("body", "named")

@@ -81,3 +81,30 @@ def apply_model(df: DataFrame, model=None, *, order: list, budget: int = 60) ->
     marked = budgeted(df, F.col("wants_model"), order, budget)
     asked = marked.filter("has_budget").drop("has_budget", "wants_model")
     return asked.mapInPandas(model, asked.schema).unionByName(marked.filter("not has_budget").drop("has_budget", "wants_model"))
+
+
+def asking(ask, *, tries: int = 3):
+    """A model for apply_model from ask(row: dict) -> {"relevant", "reason", "category_ids"}.
+
+    A refusal (ask gives None) puts the row out; if every try fails, the row keeps its default. So "could not ask" is
+    never mistaken for "was told no".
+    """
+
+    def run(frames):
+        for frame in frames:
+            rows = []
+            for row in frame.to_dict("records"):
+                for attempt in range(tries):
+                    try:
+                        answer = ask(row)
+                    except Exception:  # noqa: BLE001 - one bad answer must not end the job
+                        continue
+                    if answer is None:
+                        row |= {"relevance": "out", "reason": "model: refused", "category_ids": []}
+                    else:
+                        row |= {"relevance": "in" if answer["relevant"] else "out", "reason": "model: " + answer.get("reason", "")[:200], "category_ids": answer.get("category_ids") or []}
+                    break
+                rows.append(row)
+            yield type(frame)(rows, columns=frame.columns)
+
+    return run

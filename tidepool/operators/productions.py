@@ -154,3 +154,12 @@ def export_rows(events: DataFrame, venues: DataFrame, presenters: DataFrame) ->
         F.when(first, F.array_compact(F.array(*(F.when(F.coalesce(t, F.lit(False)), m) for t, m in flags)))).otherwise(F.array()).alias("flags"),
     )
     return shaped.withColumn("problems", F.when(F.col("continuation"), F.array().cast("array<string>")).otherwise(problems(lambda k: F.col(f"`{k}`"))))
+
+
+def rejected_by_place(raw: DataFrame, region=None) -> DataFrame:
+    """(title, city, evidence) of raw events outside the region, one per title (60 characters) and city, the first by raw_id."""
+    from ..functions import geo
+
+    judged = raw.withColumn("_g", geo.verdict("venue_city", "venue_address", "venue_name", region or geo.DELAWARE)).filter("_g.verdict = 'out'")
+    key = judged.withColumn("title", F.substring(T.clean_text("title"), 1, 60)).withColumn("city", F.coalesce("venue_city", F.lit("")))
+    return key.groupBy("title", "city").agg(F.min_by("_g.evidence", "raw_id").alias("evidence"), F.min("raw_id").alias("raw_id"))

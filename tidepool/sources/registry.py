@@ -87,7 +87,7 @@ def to_fetch(wanted: DataFrame, cache: DataFrame, as_of: Column, hours: Column)
 
 def store_pages(cache: DataFrame, fetched: DataFrame) -> DataFrame:
     """The cache with successful fetches in place of older pages."""
-    return latest_wins(cache.unionByName(fetched.filter("status = 200"), allowMissingColumns=True), ["url"], ["fetched_at"])
+    return latest_wins(cache.unionByName(fetched, allowMissingColumns=True).filter("status = 200"), ["url"], ["fetched_at"])
 
 
 def request_slots(urls: DataFrame, seconds: float = 1.0) -> DataFrame:
