@@ -2,16 +2,26 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """df written to the folder of spark.checkpoint.dir; only where that is unset, as in tests, to a temporary one."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    return df.checkpoint()
+
+
 def groups(links: DataFrame, most_rounds: int = 30) -> DataFrame:
     """(node, component) of links(a, b): the smallest node reachable, by rounds of taking the neighbours' smallest.
 
     A round also jumps to the label's own label, so rounds grow with the logarithm of the longest chain.
     """
-    both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().cache()
+    both = cut_lineage(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     label = both.select(F.col("a").alias("node")).distinct().withColumn("component", F.col("node"))
     before = None
     for _ in range(most_rounds):
@@ -19,8 +29,7 @@ def groups(links: DataFrame, most_rounds: int = 30) -> DataFrame:
         stepped = label.join(near, label["node"] == near["a"]).select("node", F.least("component", "near").alias("component"))
         jump = stepped.select(F.col("node").alias("component"), F.col("component").alias("further"))
         label = stepped.join(jump, "component", "left").select("node", F.least("component", F.coalesce("further", "component")).alias("component"))
-        if label.sparkSession.conf.get("spark.checkpoint.dir", None):
-            label = label.checkpoint()
+        label = cut_lineage(label)
         total = label.agg(F.sum("component").alias("s")).first()["s"]
         if total == before:
             break
