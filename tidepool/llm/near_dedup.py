@@ -10,9 +10,9 @@ Steps, all of them joins and aggregates on Spark:
 2. in every bucket each member is held against one member (the hub), and confirmed on the full sets;
 3. what is left are buckets with members of several components. There a member can only be linked across
    components by shingles that occur in another component too; members with too few of these go. The rest are
-   held against the member with the largest share of such shingles, and at last all pairs across components
-   that are left are confirmed on the full sets. This is exact for what the tables hold, without pairs inside
-   the large groups of copies;
+   held against the member with the largest share of such shingles, and at last pairs across components are
+   made, each in its first common table and only if sizes and parity bits allow, and confirmed on the full
+   sets. This is exact for what the tables hold, without pairs inside the large groups of copies;
 4. components by star steps.
 
 A document without words or text (null too) has an empty set and is linked with nothing; one of fewer than
@@ -35,8 +35,10 @@ SHINGLE = 5
 #: 100 * intersection >= SHARE * union
 SHARE = 75
 REPEATS = 12
+#: Parity bits of a set.
+BITS = 1024
 #: Times that members of several components in a bucket are held against a new hub before all their pairs are.
-HUB_ROUNDS = 2
+HUB_ROUNDS = 1
 #: Of the 48 minhashes of two documents of likeness 0.75, 36 agree on average; 18 or fewer with a chance below 1e-8.
 LEAST_EQUAL = 19
 
@@ -111,7 +113,11 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 
 def full_sets(docs: DataFrame) -> DataFrame:
-    """doc_id and the whole set of shingle hashes of each row, for confirming."""
+    """doc_id, the whole set of shingle hashes of each row, and its parity bits, for confirming.
+
+    A shingle flips one of BITS bits. Two sets differ in at least as many shingles as bits of theirs differ, so
+    bits give an upper bound of the intersection.
+    """
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
@@ -119,9 +125,12 @@ def full_sets(docs: DataFrame) -> DataFrame:
             owner, hashes = shingle_sets(texts)
             ends = np.r_[0, np.cumsum(K.row_counts(owner, texts.n))]
             sets = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(hashes.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([part.column(0), sets], ["doc_id", "shingles"])
+            bits = np.zeros((texts.n, BITS // 64), np.uint64)
+            at = (hashes * K.U(K.BASE[1]) >> K.U(32)) % K.U(BITS)
+            np.bitwise_xor.at(bits, (owner, (at >> K.U(6)).astype(np.int64)), K.U(1) << (at & K.U(63)))
+            yield pa.RecordBatch.from_arrays([part.column(0), sets, _lists(bits.view(np.int64), BITS // 64, pa.int64())], ["doc_id", "shingles", "bits"])
 
-    return docs.select("doc_id", plain_text().alias("text")).mapInArrow(run, f"doc_id {id_type}, shingles array<long>")
+    return docs.select("doc_id", plain_text().alias("text")).mapInArrow(run, f"doc_id {id_type}, shingles array<long>, bits array<long>")
 
 
 def _halves(reps: DataFrame, side: str, pos: str) -> DataFrame:
@@ -143,8 +152,8 @@ def _confirmed(pairs: DataFrame, reps: DataFrame, sets: DataFrame) -> DataFrame:
     )
     shared = F.size(F.array_intersect("set_a", "set_b"))
     return (
-        close.join(sets.toDF("a", "set_a"), "a")
-        .join(sets.toDF("b", "set_b"), "b")
+        close.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a")), "a")
+        .join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b")), "b")
         .filter(100 * shared >= SHARE * (F.size("set_a") + F.size("set_b") - shared))
         .select("a", "b")
     )
@@ -166,9 +175,9 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     several = sigs.filter("sig1 is not null").groupBy("doc_id").agg(F.min("sig1").alias("x"), F.max("sig1").alias("y")).filter("x <> y").select("doc_id")
     tied = member.join(several, "doc_id").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
 
-    keyed = _halves(reps, "a", "i").join(_halves(reps, "b", "j"), "rep").select("rep", F.xxhash64("i", "j", "a", "b").alias("key"))
+    keyed = _halves(reps, "a", "i").join(_halves(reps, "b", "j"), "rep").select("rep", "i", "j", F.xxhash64("i", "j", "a", "b").alias("key"))
     counted = keyed.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("last")).filter("hub < last").select("key", "hub")
-    buckets = materialise(keyed.join(counted, "key").select("key", "rep", "hub"))
+    buckets = materialise(keyed.join(counted, "key").select("key", "i", "j", "rep", "hub"))
 
     wanted = buckets.select("rep").distinct()
     sets = materialise(full_sets(docs.join(wanted.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi")).dropDuplicates(["doc_id", "shingles"]))
@@ -210,7 +219,7 @@ def _live(buckets: DataFrame, found: DataFrame, reps: DataFrame, sets: DataFrame
     If c of a document's n shingles occur in other components, its likeness to a document of m shingles there
     is at most c / (n + m - c); so m can be at most c * (100 + SHARE) / SHARE - n, here called most.
     """
-    placed = buckets.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("comp"))
+    placed = buckets.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("key", "i", "j", "rep", F.coalesce("component", "rep").alias("comp"))
     mixed = placed.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x < y").select("key")
     rest = materialise(placed.join(mixed, "key", "left_semi").join(reps.select("rep", "n_shingles"), "rep"))
     node = rest.select("rep", "comp", "n_shingles").distinct()
@@ -221,26 +230,37 @@ def _live(buckets: DataFrame, found: DataFrame, reps: DataFrame, sets: DataFrame
         node.join(reach, "rep")
         .withColumn("most", F.floor((F.col("c") * (100 + SHARE) - F.col("n_shingles") * SHARE) / SHARE))
         .filter(f"100 * most >= {SHARE} * n_shingles")
-        .select("rep", "most")
+        .join(reps.select("rep", "a", "b"), "rep")
+        .join(sets.select(F.col("doc_id").alias("rep"), "bits"), "rep")
+        .select("rep", "most", "a", "b", "bits")
+        .dropDuplicates(["rep"])
     )
     live = rest.join(most, "rep")
     least = live.groupBy("key").agg(F.min("n_shingles").alias("least"), F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x < y").select("key", "least")
-    return materialise(live.join(least, "key").filter("most >= least").select("key", "rep", "comp", "n_shingles", "most"))
+    return materialise(live.join(least, "key").filter("most >= least").drop("least"))
 
 
 def _pairs(live: DataFrame, hubs_only: bool) -> DataFrame:
-    """Pairs (a, b) of one bucket and two components; with hubs_only those with the member that most others could be like."""
-    a, b = live.toDF("key", "a", "comp_a", "n_a", "most_a"), live.toDF("key", "b", "comp_b", "n_b", "most_b")
+    """Pairs (a, b) of one bucket and two components; with hubs_only those with the member that most others could be like.
+
+    A pair is made in its first common table only: the first equal half of either collection. Sizes and parity bits
+    rule out, within the join, pairs that can't be alike enough.
+    """
+    side = lambda x: live.select("key", "i", "j", F.struct("rep", "comp", "n_shingles", "most", "a", "b", "bits").alias(x))
+    x, y = side("x"), side("y").drop("i", "j")
     if hubs_only:
-        central = F.struct((F.col("most_a") / F.col("n_a")).alias("share"), (-F.col("a")).alias("first"))
-        hub = a.groupBy("key").agg(F.max_by(F.struct("a", "comp_a", "n_a", "most_a"), central).alias("hub"))
-        a = hub.select("key", "hub.*")
-        fits = F.col("comp_a") != F.col("comp_b")
+        central = F.struct((F.col("y.most") / F.col("y.n_shingles")).alias("share"), (-F.col("y.rep")).alias("first"))
+        y = y.groupBy("key").agg(F.max_by("y", central).alias("y"))
+        fits = "x.comp <> y.comp"
     else:
-        fits = F.col("comp_a") < F.col("comp_b")
-    fits &= (F.col("n_a") <= F.col("most_b")) & (F.col("n_b") <= F.col("most_a"))
-    fits &= 100 * F.least("n_a", "n_b") >= SHARE * F.greatest("n_a", "n_b")
-    return a.join(b, (a["key"] == b["key"]) & fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        first = " and ".join(f"not exists(zip_with(slice(x.{c}, 1, {at}), slice(y.{c}, 1, {at}), (p, q) -> p = q), e -> e)" for c, at in (("a", "i"), ("b", "j")))
+        fits = f"x.comp < y.comp and {first}"
+    sizes = f"x.n_shingles <= y.most and y.n_shingles <= x.most and 100 * least(x.n_shingles, y.n_shingles) >= {SHARE} * greatest(x.n_shingles, y.n_shingles)"
+    # with d differing bits, the intersection is at most (n + m - d) / 2
+    differ = "aggregate(zip_with(x.bits, y.bits, (p, q) -> bit_count(p ^ q)), 0, (s, e) -> s + e)"
+    bits = f"{100 + SHARE} * (x.n_shingles + y.n_shingles - {differ}) >= {2 * SHARE} * (x.n_shingles + y.n_shingles)"
+    pairs = x.alias("l").join(y.alias("r"), F.expr(f"l.key = r.key and {fits} and {sizes} and {bits}"))
+    return pairs.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
 
 
 ORACLE_SQL = """
