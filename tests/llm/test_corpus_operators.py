@@ -201,7 +201,7 @@ def test_pipeline(spark, tmp_path):
     pieces = corpus_pipeline.run(spark, str(tmp_path)).collect()
     model = language_id.fit(frame(spark).filter(~language_id.held_out()))
     names, scores = language_id.predict(model, [r[1] or "" for r in rows])
-    docs = [r for r, n, s in zip(rows, names, scores) if n != "und" and s >= 0.4]
+    docs = [r for r, n, s in zip(rows, names, scores) if n != "und" and s >= 0.25]
     kept = {d for d, _, _, k in brute.near_dedup(docs) if k}
     docs = list({(r[0], r[1]): r for r in docs if r[0] in kept}.values())
     split, gone = brute.repeated_words([r[1] for r in docs])

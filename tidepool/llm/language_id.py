@@ -206,7 +206,7 @@ def identify(docs: DataFrame, model: dict | None = None) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id {id_type}, held_out boolean, lang_pred string, score double")
 
 
-def keep_identified(docs: DataFrame, *, least_score: float = 0.4, model: dict | None = None) -> DataFrame:
+def keep_identified(docs: DataFrame, *, least_score: float = 0.25, model: dict | None = None) -> DataFrame:
     """The rows of docs, all columns as they are, whose language is known with least_score or more."""
     model = fit(docs.filter(~held_out())) if model is None else model
     shared = docs.sparkSession.sparkContext.broadcast(model)
