@@ -8,7 +8,7 @@ length: sets alike in a share s differ in length by at most that factor, so each
 own class and the next, and only under the set's rarest signatures (its prefix).
 
 Null text is an empty one: its fingerprint is "", and two empty fingerprints have likeness 1, one empty and
-one other 0. Rows equal in id and text count as one document and get the same result each; of rows with one
+one other 0. Null ids are last in descending order. Rows equal in id and text count as one document and get the same result each; of rows with one
 id and different texts, the order is that of a hash of the text. Other columns are not read.
 """
 
@@ -71,21 +71,24 @@ def likeness(a: str, b: str) -> Column:
     )
 
 
+KEY = ["dk", "th"]
+
+
 def _followers(rows: DataFrame) -> DataFrame:
-    """(doc_id, th, prev_id, prev_th, prev_n): for each document the one that it is next to, in descending order of ids."""
+    """(dk, th, prev_dk, prev_th, prev_n): for each document the one that it is next to, in descending order of ids."""
     spark = rows.sparkSession
-    keys = rows.select("doc_id", "th", "n_chars").distinct()
+    keys = rows.select("doc_id", *KEY, F.length("text").cast("long").alias("n_chars")).distinct()
     down = [F.desc("doc_id"), F.asc("th")]
-    keys = materialise(keys.repartitionByRange(4 * n_partitions(spark), *down).select("*", F.spark_partition_id().alias("pid")))
+    keys = materialise(keys.repartitionByRange(n_partitions(spark), *down).select("*", F.spark_partition_id().alias("pid")))
     w = Window.partitionBy("pid").orderBy(*down)
-    me = F.struct("doc_id", "th", "n_chars")
-    keys = keys.select("pid", "doc_id", "th", F.lag(me).over(w).alias("prev"), F.when(F.lead("doc_id").over(w).isNull(), me).alias("end"))
+    me = F.struct(*KEY, "n_chars")
+    keys = keys.select("pid", *KEY, F.lag(me).over(w).alias("prev"), F.when(F.lead("dk").over(w).isNull(), me).alias("end"))
     ends = keys.filter("end is not null").select("pid", "end")  # one row per range
     over = Window.orderBy("pid")
     ends = ends.select("pid", F.lag("end").over(over).alias("before"), F.max_by("end", "pid").over(over.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("very_last"))
     prev = F.coalesce("prev", "before", "very_last")
-    linked = keys.join(ends, "pid").select("doc_id", "th", prev.alias("prev"))
-    return linked.select("doc_id", "th", F.col("prev.doc_id").alias("prev_id"), F.col("prev.th").alias("prev_th"), F.col("prev.n_chars").alias("prev_n"))
+    linked = keys.join(ends, "pid").select(*KEY, prev.alias("prev"))
+    return linked.select(*KEY, F.col("prev.dk").alias("prev_dk"), F.col("prev.th").alias("prev_th"), F.col("prev.n_chars").alias("prev_n"))
 
 
 def compare_edited(docs: DataFrame) -> DataFrame:
@@ -94,16 +97,19 @@ def compare_edited(docs: DataFrame) -> DataFrame:
     The edited text has the last floor(n / 2) code points replaced by the first as many of the next document.
     """
     rows = docs.select("doc_id", plain_text().alias("text"))
-    rows = rows.select("doc_id", F.xxhash64("text").alias("th"), F.length("text").cast("long").alias("n_chars"), "text")
+    # hashes of id and text tell documents apart and are never null
+    rows = rows.select("doc_id", F.xxhash64("doc_id").alias("dk"), F.xxhash64("text").alias("th"), "text")
     links = materialise(_followers(rows))
-    base = with_signatures(rows, "text", "fp").join(links, ["doc_id", "th"])
+    # both sides of the last join read the same columns of one exchange of texts and signatures
+    base = with_signatures(rows, "text", "fp")
     half = F.floor(F.col("prev_n") / 2).cast("int")
-    heads = base.select(F.col("prev_id").alias("doc_id"), F.col("prev_th").alias("th"), F.col("text").substr(F.lit(1), half).alias("head"), F.col("fp").alias("next_fp"))
+    heads = base.join(links, KEY)
+    heads = heads.select(F.col("prev_dk").alias("dk"), F.col("prev_th").alias("th"), F.col("text").substr(F.lit(1), half).alias("head"), F.col("fp").alias("next_fp"), F.col("doc_id").alias("next_id"))
     if rows.count() != links.count():  # rows equal in id and text
-        heads = heads.dropDuplicates(["doc_id", "th"])
+        heads = heads.dropDuplicates(KEY)
+    both = base.join(heads, KEY).withColumn("n_chars", F.length("text").cast("long"))
     edited = F.concat(F.col("text").substr(F.lit(1), (F.col("n_chars") - F.floor(F.col("n_chars") / 2)).cast("int")), F.col("head"))
-    both = base.drop("prev_id", "prev_th", "prev_n").join(heads, ["doc_id", "th"])
-    both = both.select("doc_id", "n_chars", "fp", "next_fp", edited.alias("edited"))
+    both = both.select("doc_id", "next_id", "n_chars", "fp", "next_fp", edited.alias("edited"))
     return with_signatures(both, "edited", "efp").select(
         "doc_id",
         "n_chars",
@@ -112,6 +118,7 @@ def compare_edited(docs: DataFrame) -> DataFrame:
         fingerprint("efp").alias("edited_fingerprint"),
         likeness("fp", "efp").alias("near_edited"),
         likeness("fp", "next_fp").alias("near_next"),
+        "next_id",
     )
 
 
