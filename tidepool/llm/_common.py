@@ -33,16 +33,17 @@ def materialise(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     df.sparkSession.sparkContext._jvm.System.gc()  # lets Spark delete the shuffle files behind the table
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored.stored_at = path
+    return stored
 
 
-def drop_table(df: DataFrame) -> None:
-    """Delete the files of a materialised frame that nothing reads any more."""
-    spark = df.sparkSession
-    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()[:1]}:
-        if path.startswith(shared_dir(spark).replace("file://", "file:")) or path.startswith(shared_dir(spark)):
-            target = spark._jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+def discard(*frames: DataFrame) -> None:
+    """Delete materialised frames that nothing reads any more; what was made from them has been written too."""
+    for df in frames:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def n_partitions(spark: SparkSession) -> int:

@@ -11,7 +11,7 @@ that are alone at a level end there.
 Windows are judged on the input. A repeated row counts as another place. Words are runs of bytes other than
 space and \\t \\n \\v \\f \\r; null and empty texts have none, texts under 35 words have no window. Hashes of
 places are 64 bits wide; windows and units also compare a second hash of 64 bits. Rows are told apart by id
-and a hash of the text, so ids may repeat.
+and a hash of the text, so ids may repeat or be null.
 """
 
 from __future__ import annotations
@@ -25,12 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from ._common import materialise, plain_text, text_steps
+from ._common import discard, materialise, plain_text, text_steps
 
 WINDOW = 35
 HALF = (WINDOW + 1) // 2
 QUARTER = HALF // 2
-KEY = ["doc_id", "th"]
+KEY = ["_doc", "_th"]
 
 
 class _Windows:
@@ -50,8 +50,13 @@ class _Windows:
         self.first = np.cumsum(counts) - counts
 
 
+def _key() -> list:
+    """What tells rows apart, never null: hashes of id and text."""
+    return [F.xxhash64("doc_id").alias("_doc"), F.hash("text").alias("_th")]
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", F.hash("text").alias("th"), plain_text().alias("text"))
+    return docs.select(*_key(), plain_text().alias("text"))
 
 
 def _out(part, rows: np.ndarray, columns: list, names: list[str]) -> pa.RecordBatch:
@@ -59,7 +64,7 @@ def _out(part, rows: np.ndarray, columns: list, names: list[str]) -> pa.RecordBa
     return pa.RecordBatch.from_arrays([*keys, *columns], [*KEY, *names])
 
 
-def _anchors(keyed: DataFrame, id_type: str) -> DataFrame:
+def _anchors(keyed: DataFrame) -> DataFrame:
     def run(batches):
         for part, texts in text_steps(batches):
             w = _Windows(texts)
@@ -68,7 +73,7 @@ def _anchors(keyed: DataFrame, id_type: str) -> DataFrame:
                 rows = w.rows[at]
                 yield _out(part, rows, [pa.array((at - w.first[rows]).astype(np.int32)), pa.array(w.quarter[at].view(np.int64))], ["p", "h"])
 
-    return keyed.mapInArrow(run, f"doc_id {id_type}, th int, p int, h long")
+    return keyed.mapInArrow(run, "_doc long, _th int, p int, h long")
 
 
 def _chosen(lists: pa.Array, w: _Windows) -> np.ndarray:
@@ -79,7 +84,7 @@ def _chosen(lists: pa.Array, w: _Windows) -> np.ndarray:
     return named
 
 
-def _units(kept: DataFrame, id_type: str) -> DataFrame:
+def _units(kept: DataFrame) -> DataFrame:
     """One row per unit: its 18 words' hash, its first window and number of windows, the hashes of all its words."""
 
     def run(batches):
@@ -107,10 +112,10 @@ def _units(kept: DataFrame, id_type: str) -> DataFrame:
             columns = [pa.array(x) for x in (half.view(np.int64), (at - w.first[rows]).astype(np.int32), n.astype(np.int32), whole[0].view(np.int64), whole[1].view(np.int64))]
             yield _out(part, rows, columns, ["h", "i", "n", "s1", "s2"])
 
-    return kept.mapInArrow(run, f"doc_id {id_type}, th int, h long, i int, n int, s1 long, s2 long")
+    return kept.mapInArrow(run, "_doc long, _th int, h long, i int, n int, s1 long, s2 long")
 
 
-def _single_windows(kept: DataFrame, id_type: str) -> DataFrame:
+def _single_windows(kept: DataFrame) -> DataFrame:
     """One row per window that a row's list of starts names: its start and its two hashes."""
 
     def run(batches):
@@ -122,37 +127,41 @@ def _single_windows(kept: DataFrame, id_type: str) -> DataFrame:
                 hashes = [pa.array(K.window_hash(w.words, WINDOW, k)[at].view(np.int64)) for k in (0, 1)]
                 yield _out(part, rows, [pa.array((at - w.first[rows]).astype(np.int32)), *hashes], ["i", "h1", "h2"])
 
-    return kept.mapInArrow(run, f"doc_id {id_type}, th int, i int, h1 long, h2 long")
+    return kept.mapInArrow(run, "_doc long, _th int, i int, h1 long, h2 long")
 
 
 def repeated_windows(docs: DataFrame) -> DataFrame:
-    """(doc_id, th, i, n): from word i on, n successive windows start that also start elsewhere."""
-    id_type = docs.schema["doc_id"].dataType.simpleString()
+    """(_doc, _th, i, n): from word i on, n successive windows start that also start elsewhere; keys as of _key()."""
     keyed = _keyed(docs)
     # nine words
-    anchors = materialise(_anchors(keyed, id_type))
+    anchors = materialise(_anchors(keyed))
     often = anchors.groupBy("h").agg(F.count("*").alias("c")).filter("c > 1").select("h")
     live = materialise(anchors.join(often, "h").groupBy(*KEY).agg(F.collect_set("p").alias("at")))
+    discard(anchors)
     kept = materialise(keyed.join(live, KEY).select(*KEY, "text", "at"))
+    discard(live)
     # eighteen words
-    units = materialise(_units(kept, id_type))
+    units = materialise(_units(kept))
     state = units.groupBy("h").agg(
         F.count("*").alias("c"),
         ((F.min("s1") == F.max("s1")) & (F.min("s2") == F.max("s2"))).alias("even"),
     )
     judged = materialise(units.join(state.filter("c > 1").select("h", "even"), "h").select(*KEY, "i", "n", "even"))
+    discard(units)
     # thirty-five words
     starts = judged.filter("not even").groupBy(*KEY).agg(F.array_distinct(F.flatten(F.collect_list(F.expr("sequence(i, i + n - 1)")))).alias("at"))
-    single = materialise(_single_windows(kept.drop("at").join(starts, KEY), id_type))
+    single = materialise(_single_windows(kept.drop("at").join(starts, KEY)))
     twice = single.groupBy("h1", "h2").agg(F.count("*").alias("c")).filter("c > 1").drop("c")
     some = single.join(twice, ["h1", "h2"]).select(*KEY, "i", F.lit(1).alias("n"))
-    return materialise(judged.filter("even").select(*KEY, "i", "n").union(some))
+    found = materialise(judged.filter("even").select(*KEY, "i", "n").union(some))
+    discard(kept, judged, single)
+    return found
 
 
-def _with_ranges(docs: DataFrame) -> DataFrame:
-    """docs with th and `gone`, the flat list of (i, n) of their repeated windows."""
-    ranges = repeated_windows(docs).groupBy(*KEY).agg(F.flatten(F.collect_list(F.array("i", "n"))).alias("gone"))
-    return docs.withColumn("th", F.hash("text")).join(ranges, KEY, "left")
+def _with_ranges(docs: DataFrame, out: str) -> DataFrame:
+    """docs with the column `out`, the flat list of (i, n) of a row's repeated windows."""
+    ranges = repeated_windows(docs).groupBy(*KEY).agg(F.flatten(F.collect_list(F.array("i", "n"))).alias("_gone"))
+    return docs.select(F.struct("*").alias("_row"), *_key()).join(ranges, KEY, "left").select("_row.*", F.col("_gone").alias(out))
 
 
 def _removed(flat: pa.Array, first: np.ndarray, n: int) -> np.ndarray:
@@ -186,7 +195,7 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
 
     names = ["doc_id", "n_words", "n_removed", "kept_sha256"]
     none = F.expr("cast(array() as array<int>)")
-    rows = _with_ranges(docs.select("doc_id", "text")).select("doc_id", plain_text().alias("text"), F.coalesce("gone", none).alias("gone"))
+    rows = _with_ranges(docs.select("doc_id", "text"), "gone").select("doc_id", plain_text().alias("text"), F.coalesce("gone", none).alias("gone"))
     return rows.mapInArrow(run, f"doc_id {id_type}, n_words long, n_removed long, kept_sha256 string")
 
 
@@ -197,10 +206,11 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     an integer column n_chars, it gets the new length.
     """
     names = docs.columns
+    mark = max(names, key=len) + "_gone"  # longer than any name of docs
 
     def run(batches):
         for batch in batches:
-            at, flat = batch.schema.get_field_index("text"), batch.schema.get_field_index("gone")
+            at, flat = batch.schema.get_field_index("text"), batch.schema.get_field_index(mark)
             hit = batch.filter(pa.compute.is_valid(batch.column(flat)))
             texts, sizes = [], []
             for part, step in text_steps([hit]):
@@ -224,9 +234,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             out = pa.RecordBatch.from_arrays(columns, names)
             yield out.filter(pa.compute.is_valid(out.column(at)))
 
-    ranged = _with_ranges(docs).select(*names, "gone")
-    changed = ranged.filter("gone is not null").mapInArrow(run, docs.schema)
-    return ranged.filter("gone is null").select(*names).union(changed)
+    ranged = _with_ranges(docs, mark)
+    changed = ranged.filter(ranged[mark].isNotNull()).mapInArrow(run, docs.schema)
+    return ranged.filter(ranged[mark].isNull()).drop(mark).union(changed)
 
 
 ORACLE_SQL = """
