@@ -35,5 +35,5 @@ def with_clashing_columns(df):
     """Extra columns named like results and helpers of the operators."""
     from pyspark.sql import functions as F
 
-    extra = ["th", "kept", "component_id", "score", "lang_pred", "n_tokens", "spans", "start", "bucket", "rep", "fp", "gone", "_w", "key"]
+    extra = ["th", "kept", "component_id", "score", "lang_pred", "n_tokens", "spans", "start", "bucket", "rep", "fp", "gone", "_w", "key", "i", "n", "h", "dk", "_doc", "_th"]
     return df.select("*", *(F.lit(str(i)).alias(c) for i, c in enumerate(extra)))

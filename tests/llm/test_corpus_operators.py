@@ -211,3 +211,20 @@ def test_pipeline(spark, tmp_path):
     assert {d: brute.WORD.findall(t) for d, t in left.items()} == {r[0]: [x for i, x in enumerate(w) if i not in g] for r, w, g in zip(docs, split, gone) if len(g) < len(w)}
     final = [(d, secret_scan.redact(t, secret_scan.all_spans(t)[1])) for d, t in left.items()]
     assert check_pieces(pieces, final) < 1024
+
+
+def test_null_ids_and_clashing_columns(spark):
+    rows = awkward_rows()
+    rows += [(None, rows[9][1], "en", None, None), (None, rows[8][1], None, None, None), (None, "word " * 1500, "en", None, None), (None, None, None, None, None)]
+    df = with_clashing_columns(frame(spark, rows))
+    assert rows_of(substring_dedup.substring_dedup(df), "doc_id", "n_words", "n_removed", "kept_sha256") == brute.substring_dedup(rows)
+    kept = substring_dedup.remove_repeats(df)
+    assert kept.columns == df.columns and kept.filter("th = '0' and gone = '11' and `_doc` = '18'").count() == kept.count() > 0
+    assert check_pieces(packing.pack(df).collect(), rows) < 1024
+    near = near_dedup.near_dedup(df)
+    assert near.count() == len(rows) and near.filter("doc_id is null and kept and component_id is null").count() == 4
+    assert near_dedup.keep_one_of_each(df).columns == df.columns
+    spots = spot_signatures.compare_edited(df)
+    assert spots.count() == len(rows) and spots.filter("doc_id is null").count() == 4
+    assert language_id.identify(df).count() == len(rows) and language_id.keep_identified(df).columns == df.columns
+    assert secret_scan.redact_secrets(df).columns == df.columns

@@ -16,8 +16,9 @@ Steps, all of them joins and aggregates on Spark:
 4. components by star steps.
 
 A document without words or text (null too) has an empty set and is linked with nothing; one of fewer than
-five words has its whole sequence as its one shingle. Repeated rows share an id and so a component. Columns
-other than the id and the text are not read.
+five words has its whole sequence as its one shingle. Repeated rows share an id and so a component. A row
+without an id is linked with nothing: its component is null and it is kept. Columns other than the id and the
+text are not read.
 """
 
 from __future__ import annotations
@@ -199,14 +200,14 @@ def near_dedup(docs: DataFrame) -> DataFrame:
         "doc_id",
         "n_shingles",
         F.coalesce("component_id", "doc_id").alias("component_id"),
-        (F.col("doc_id") == F.coalesce("component_id", "doc_id")).alias("kept"),
+        F.coalesce(F.col("doc_id") == F.coalesce("component_id", "doc_id"), F.lit(True)).alias("kept"),
     )
 
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of docs, all columns as they are, of the smallest id of each component; of rows that share that id, one of each text.
+    """The rows of docs, all columns as they are, of the smallest id of each component; of rows that share an id, one of each text.
 
-    Rows whose id is null are kept.
+    Rows whose id is null are kept, one of each text.
     """
     gone = near_dedup(docs.filter("doc_id is not null")).filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
     left = docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")

@@ -212,7 +212,7 @@ def _cut_pieces(texts: DataFrame, cuts: DataFrame, tokenizer: str, end_id: int,
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], COLUMNS)
 
     # doc_id, text, doc_tokens, rest_crc, place
-    rows = texts.join(cuts, "doc_id").select("doc_id", plain_text().alias("text"), "doc_tokens", "rest_crc", "place")
+    rows = texts.join(cuts, texts["doc_id"].eqNullSafe(cuts["doc_id"])).select(texts["doc_id"], plain_text().alias("text"), "doc_tokens", "rest_crc", "place")
     return rows.mapInArrow(run, f"doc_id {id_type}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
 
@@ -273,9 +273,9 @@ def pack(docs: DataFrame, *, tokenizer: str = "byte_bpe_50k.json", end_id: int =
         (F.col("place") % size).alias("offset"),
     )
     cuts = materialise(placed.filter(across).select(*order, "place"))
-    wanted = cuts.select("doc_id").distinct()
+    wanted = cuts.select(F.col("doc_id").alias("_wanted")).distinct()
     wanted = F.broadcast(wanted) if cuts.count() <= SMALL else wanted
-    texts = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi").distinct()
+    texts = docs.select("doc_id", "text").join(wanted, docs["doc_id"].eqNullSafe(wanted["_wanted"]), "left_semi").distinct()
     cut = _cut_pieces(texts, cuts, tokenizer, end_id, size)
 
     run = Window.partitionBy("bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
