@@ -538,7 +538,8 @@ def rules_classify(spark, sf_dir):
     from ..functions import taxonomy
 
     rows = corpus(spark, sf_dir, [r[:2] for r in RULES], "title string, body string")
-    c = taxonomy.classify(F.col("title"), F.concat_ws(" ", "title", "body"))
+    rows = rows.withColumn("_c", taxonomy.classify(F.col("title"), F.concat_ws(" ", "title", "body")))
+    c = F.col("_c")
     return rows.select("event_id", c["relevant"].alias("relevant"), F.array_join(c["category_ids"], ",").alias("categories"), F.array_join(c["title_category_ids"], ",").alias("title_categories"))
 
 
