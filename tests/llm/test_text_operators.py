@@ -166,6 +166,26 @@ def test_language_edges(spark):
     assert kept.columns == frame(spark).columns and kept.filter("text is null or text = ''").isEmpty()
 
 
+def test_language_stage_rejects_junk_and_unlearned_languages(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(*SCHEMA.replace(" long", "").replace(" string", "").split(", "))
+    model = language_id.fit(docs.filter(~language_id.held_out()))
+    assert len(model["languages"]) == 4
+    r = random.Random(1)
+    clean = {x["lang"]: x["text"] for x in docs.filter("n_chars between 800 and 1500 and text not like '%|%' and text not like '%$$$%'").orderBy("doc_id").collect()}
+    texts = [
+        " ".join("".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(2, 9))) for _ in range(60)),
+        "".join(r.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/") for _ in range(300)),
+        " ".join("%064x" % r.getrandbits(256) for _ in range(9)),
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem.",
+        "Все люди рождаются свободными и равными в своем достоинстве и правах.",
+        *clean.values(),
+        clean["en"][:400] + " " + clean["fr"][:400],
+    ]
+    rows = [(i, t, "en", None, None) for i, t in enumerate(texts)]
+    kept = {x["doc_id"] for x in language_id.keep_identified(frame(spark, rows), model=model).collect()}
+    assert kept == set(range(5, len(texts)))
+
+
 PAGE = """<html><head><title>T</title><style>p{}</style></head><body><nav><ul><li><a href=/a>Home</a></li><li><a href=/b>News</a></li></ul></nav>
 <header><h2>Daily Site</h2></header><div class="cookie-notice"><p>We use cookies to make this page better for you.</p></div>
 <div class=ad>Buy now and save a lot of money today.</div><article><h1>A  title &amp; more</h1><p><b>First words</b> of a\n longer  story that goes on&nbsp;for a while, and on.<br>

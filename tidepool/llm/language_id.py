@@ -8,7 +8,11 @@ hash of the id), and a temperature is fitted on a fifth of that sample that the
 any length is scored over all of its n-grams.
 
 The term frequency is a share of the text's n-grams, so a score is a mean of one weight per n-gram: a table
-lookup, with no per-document vectors. Null texts and texts without a letter are `und` with score 0; so is
+lookup, with no per-document vectors. As softmax shares sum up to 1 for any text, the best share is multiplied by
+the chance that the text is of a learned language at all: Spark counts the n-grams of each language over all
+learning documents, and the mean log-frequency of a text's n-grams (each in the language where it is most
+frequent, so texts that mix learned languages are not punished) is held against that of labelled documents, each
+without its own counts. Letter junk and unlearned languages lie more than FLOOR deviations below. Null texts and texts without a letter are `und` with score 0; so is
 everything if no row can be learned from. Ties go to the language that is first in the alphabet. Rows are
 independent; columns other than the id, the text and the label are not read.
 """
@@ -27,6 +31,8 @@ BUCKETS = 1 << 15
 #: Bound of the labelled rows that the weights are fitted on.
 SAMPLE = 2_000
 SCALE = 20.0
+#: Deviations below a language's usual n-gram frequency at which a text is as likely of no learned language.
+FLOOR = 7.0
 UNKNOWN = "und"
 
 _letters: np.ndarray | None = None
@@ -121,21 +127,26 @@ def fit(docs: DataFrame, *, sample: int = SAMPLE, epochs: int = 6) -> dict:
     counts = {r["lang"]: r["n"] for r in docs.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     languages = sorted(counts)
     if not languages:
-        return {"languages": [], "table": np.zeros((BUCKETS, 0), np.float32), "temperature": 1.0}
+        return {"languages": [], "table": np.zeros((BUCKETS, 0), np.float32), "temperature": 1.0, "known": None}
 
     def frequencies(batches):
-        total, seen = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, bool)
+        seen, counted = np.zeros(BUCKETS, bool), {}
         for part, _ in text_steps(batches):
-            for _, buckets in _per_row(part.column(0).to_pylist()):
+            langs = part.column(1).to_pylist()
+            for r, buckets in _per_row(part.column(0).to_pylist()):
+                documents, uses = counted.setdefault(langs[r], (np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)))
                 seen[buckets] = True
-                total += seen
+                documents += seen
                 seen[:] = False
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["bucket", "n"])
-
-    found = docs.select("text").mapInArrow(frequencies, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-    df = np.zeros(BUCKETS)
-    df[found["bucket"].to_numpy()] = found["n"].to_numpy()
+                uses += np.bincount(buckets, minlength=BUCKETS)
+        for lang, (documents, uses) in counted.items():
+            at = np.flatnonzero(documents)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at), pa.array(documents[at]), pa.array(uses[at])], ["lang", "bucket", "n", "uses"])
+
+    found = docs.select("text", "lang").mapInArrow(frequencies, "lang string, bucket long, n long, uses long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"), F.sum("uses").alias("uses")).toArrow().to_pandas()
+    df, uses = np.zeros(BUCKETS), np.zeros((BUCKETS, len(languages)))
+    np.add.at(df, found["bucket"], found["n"])
+    uses[found["bucket"], found["lang"].map(languages.index).to_numpy(int)] = found["uses"]
     idf = np.log((1 + sum(counts.values())) / (1 + df)) + 1
 
     quota = max(5, sample // len(languages))
@@ -155,6 +166,7 @@ def fit(docs: DataFrame, *, sample: int = SAMPLE, epochs: int = 6) -> dict:
 
     rows = picked.select(F.crc32(F.concat(F.lit("order"), F.col("doc_id").cast("string"))).alias("k"), "text", "lang")
     rows = rows.mapInArrow(vectors, "k long, lang string, at array<int>, n array<int>").toArrow().to_pandas().sort_values("k", kind="stable")
+    counted = [(a, n, languages.index(k)) for a, n, k in zip(rows["at"], rows["n"], rows["lang"]) if len(a)]
     examples = [(a, SCALE * n / n.sum() * idf[a], languages.index(k)) for a, n, k in zip(rows["at"], rows["n"], rows["lang"]) if len(a)]
     held, used = examples[::5], [e for i, e in enumerate(examples) if i % 5]
     model = FtrlSoftmax(BUCKETS, len(languages))
@@ -165,11 +177,54 @@ def fit(docs: DataFrame, *, sample: int = SAMPLE, epochs: int = 6) -> dict:
     weights = model.weights()
     logits = np.array([x @ weights[at] for at, x, _ in held]).reshape(-1, len(languages))
     temperature = fit_temperature(logits, np.array([y for _, _, y in held], int))
-    return {"languages": languages, "table": (weights * idf[:, None] * SCALE).astype(np.float32), "temperature": temperature}
+    return {"languages": languages, "table": (weights * idf[:, None] * SCALE).astype(np.float32), "temperature": temperature, "known": fit_known(uses, counted)}
+
+
+def log_frequencies(uses: np.ndarray, totals: np.ndarray) -> np.ndarray:
+    """Smoothed log share of n-grams, in the language where it is greatest; uses has a column per language."""
+    return np.log((uses + 0.5) / (totals + 0.5 * BUCKETS)).max(axis=-1)
+
+
+def fit_known(uses: np.ndarray, rows: list[tuple[np.ndarray, np.ndarray, int]]) -> dict[str, np.ndarray]:
+    """log: frequency of each bucket; per language the usual mean over a text, its deviation between texts and that of one n-gram.
+
+    rows are labelled texts (buckets, their counts, language), held against all other texts.
+    """
+    totals, k = uses.sum(axis=0), uses.shape[1]
+    means, within, labels = [], [], []
+    for at, n, label in rows:
+        others, rest = uses[at], totals.copy()
+        others[:, label] = np.maximum(others[:, label] - n, 0)
+        rest[label] = max(rest[label] - n.sum(), 0)
+        logs = log_frequencies(others, rest)
+        mean = (n * logs).sum() / n.sum()
+        means.append(mean)
+        within.append((n * (logs - mean) ** 2).sum() / n.sum())
+        labels.append(label)
+    means, within, labels = np.array(means), np.array(within), np.array(labels, int)
+    if not len(means):
+        return {"log": log_frequencies(uses, totals), "middle": np.full(k, -np.inf), "between": np.ones(k), "gram": np.ones(k)}
+
+    def usual(mine):
+        middle = np.median(means[mine])
+        return np.array([middle, 1.4826 * np.median(np.abs(means[mine] - middle)), np.sqrt(np.median(within[mine]))])
+
+    pooled = usual(np.ones(len(means), bool))
+    sizes = np.bincount(labels, minlength=k)[:, None]  # few texts: shrunk towards all
+    own = np.array([usual(labels == j) if sizes[j, 0] else pooled for j in range(k)])
+    middle, between, gram = ((sizes * own + 10 * pooled) / (sizes + 10)).T
+    return {"log": log_frequencies(uses, totals), "middle": middle, "between": np.maximum(between, 0.02), "gram": gram}
+
+
+def deviations(known: dict[str, np.ndarray], means: np.ndarray, total: np.ndarray, best: np.ndarray) -> np.ndarray:
+    """How far mean log-frequencies of texts with total n-grams lie from what is usual in their best languages."""
+    # the n-grams of one to three characters overlap: about as much is learned from a sixth of them
+    spread = np.sqrt(known["between"][best] ** 2 + 6 * known["gram"][best] ** 2 / np.maximum(total, 1))
+    return (means - known["middle"][best]) / spread
 
 
 def predict(model: dict, texts: list[str]) -> tuple[list[str], np.ndarray]:
-    """Language and calibrated probability of each text."""
+    """Language of each text, and the probability that it is of this language and not of an unlearned one or none."""
     names = model["languages"]
     owners, buckets, with_letter = features(texts)
     if not names:
@@ -182,8 +237,10 @@ def predict(model: dict, texts: list[str]) -> tuple[list[str], np.ndarray]:
             logits[:, j] += np.bincount(o, weights=column[b], minlength=len(texts))
     p = softmax(logits / np.maximum(total, 1)[:, None] / model["temperature"])
     best = p.argmax(axis=1)
+    means = sum(np.bincount(o, weights=model["known"]["log"][b], minlength=len(texts)) for o, b in zip(owners, buckets)) / np.maximum(total, 1)
+    known = 1 / (1 + np.exp(np.clip(-FLOOR - deviations(model["known"], means, total, best), -500, 500)))
     chosen = [names[b] if ok else UNKNOWN for b, ok in zip(best, with_letter)]
-    return chosen, np.where(with_letter, p[np.arange(len(texts)), best], 0.0)
+    return chosen, np.where(with_letter, p[np.arange(len(texts)), best] * known, 0.0)
 
 
 def held_out():
