@@ -148,6 +148,23 @@ def test_perplexity_bands_reject_outliers(spark):
     assert sum(got[i]["kept"] or got[i]["base_failed"] for i in range(200)) == 200
 
 
+def test_perplexity_bands_reject_junk_that_passes_the_base_rules(spark, sf_dir):
+    """Outliers on either side; a text of two languages stays."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang").collect()
+    plain = {k: [x["text"] for x in docs if x["lang"] == k and len(x["text"]) > 600 and not re.search(r"[|$&%*#!]|(\b\w+\b)[ .]+\1\b", x["text"])] for k in ("en", "fr")}
+    r = random.Random(4)
+    en, fr = " ".join(plain["en"]).split(), " ".join(plain["fr"]).split()
+    rows = [(" ".join(r.choices(w, k=r.randint(100, 300))), k) for w, k in ((en, "en"), (fr, "fr")) for _ in range(120)]
+    n = len(rows)
+    rows += [(" | ".join(r.choices(en, k=150)), "en"), (" ".join(w + "&" * 8 for w in r.choices(en, k=150)), "en")]
+    rows += [(" ".join(r.choices(en, k=150) + r.choices(fr, k=150)), "en")]
+    got = {x["doc_id"]: x for x in quality_rules.quality_rules(frame(spark, [(i, t, k, None, None) for i, (t, k) in enumerate(rows)])).collect()}
+    assert [(got[i]["base_failed"], got[i]["kept"]) for i in range(n, n + 2)] == [(False, False)] * 2
+    middle = np.median([got[i]["surprise"] for i in range(n) if rows[i][1] == "en"])
+    assert got[n]["surprise"] > middle > got[n + 1]["surprise"] and got[n + 2]["kept"]
+    assert sum(got[i]["kept"] or got[i]["base_failed"] for i in range(n)) >= 0.97 * n
+
+
 def test_language_accuracy(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     table = language_id.accuracy(language_id.identify(docs), docs).set_index("held_out")

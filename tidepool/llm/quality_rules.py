@@ -5,8 +5,12 @@ case, border, digit, punctuation, classes of the bytes of other characters). Spa
 documents of a language; lower orders follow from them. As an n-gram is a number below SYMBOLS^4, a language's
 model has a fixed bound, whatever the corpus. It is held as arrays sorted by n-gram with their probabilities,
 and the back-off tables of order 3. A document's figure is its mean negative log-probability per byte. A
-language's band lies WIDTH scaled median deviations around the median of that figure over its documents, below
-and above; a document outside it is rejected. Languages of under FEWEST documents have no band.
+language's band lies around the median of that figure over its documents. Its lower and upper limits are set apart
+and depend on the length, as a short text strays further by chance: each lies WIDTH spreads away, where the squared
+spread is a part between texts plus a part per byte over the length, fitted to the median deviations of the shorter
+and the longer half of the documents on that side. Texts that mix languages are held against the upper limit by
+pieces of PIECE bytes, each under the model that it fits best. A document outside its limits is rejected.
+Languages of under FEWEST documents have no band.
 
 Null text is empty. Null languages share one model and band. Empty texts have no figure and fail the base
 rules. Repeated rows are independent rows; columns other than id, text and lang are not read.
@@ -24,7 +28,9 @@ from ._common import materialise, plain_text, text_steps
 
 SYMBOLS = 64
 ORDER = 4
-WIDTH = 14.0
+WIDTH = 2.5
+PIECE = 64
+LEAST = 0.01
 FEWEST = 30
 #: 4-grams that a task gathers before it counts them.
 GATHERED = 1 << 22
@@ -205,7 +211,7 @@ COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
 def score(docs: DataFrame, models: dict[str, dict[str, np.ndarray]]) -> DataFrame:
-    """doc_id, lang (null: ""), COUNTS and surprise (mean negative log-probability; null for empty texts) per row."""
+    """doc_id, lang (null: ""), COUNTS, surprise (mean negative log-probability; null for empty texts), n_bytes and mixed (surprise of pieces under their best models) per row."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(models)
 
@@ -214,35 +220,61 @@ def score(docs: DataFrame, models: dict[str, dict[str, np.ndarray]]) -> DataFram
             counts = base_counts(texts)
             codes, rows = grams(texts)
             langs = np.array(part.column(2).to_pylist(), object)
-            logs = np.zeros(len(codes), np.float32)
-            for lang in set(langs):
-                if lang in shared.value:
-                    mine = (langs == lang)[rows]
-                    logs[mine] = gram_logs(shared.value[lang], codes[mine])
             sizes = np.diff(texts.offs)
-            surprise = -np.bincount(rows, weights=logs, minlength=texts.n) / np.maximum(sizes, 1)
+            pieces = -(-sizes // PIECE)
+            first = np.cumsum(pieces) - pieces
+            at = first[rows] + (np.arange(len(codes)) - texts.offs[:-1][rows]) // PIECE
+            own, best = np.zeros(texts.n), np.full(pieces.sum(), -np.inf)
+            unique, inverse = np.unique(codes, return_inverse=True)
+            for lang, model in shared.value.items():
+                sums = np.bincount(at, weights=gram_logs(model, unique)[inverse], minlength=len(best))
+                np.maximum(best, sums, out=best)
+                mine = langs == lang
+                own[mine] = np.bincount(np.repeat(np.arange(texts.n), pieces), weights=sums, minlength=texts.n)[mine]
+            surprise = -own / np.maximum(sizes, 1)
+            mixed = -np.bincount(np.repeat(np.arange(texts.n), pieces), weights=best, minlength=texts.n) / np.maximum(sizes, 1)
             columns = [pa.array(counts[c]) for c in COUNTS]
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), *columns, pa.array(surprise, mask=sizes == 0)], names)
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), *columns, pa.array(surprise, mask=sizes == 0), pa.array(sizes), pa.array(mixed, mask=sizes == 0)], names)
 
-    names = ["doc_id", "lang", *COUNTS, "surprise"]
+    names = ["doc_id", "lang", *COUNTS, "surprise", "n_bytes", "mixed"]
     rows = docs.select("doc_id", plain_text().alias("text"), F.coalesce("lang", F.lit("")).alias("lang"))
-    return rows.mapInArrow(run, f"doc_id {id_type}, lang string, {', '.join(f'{c} long' for c in COUNTS)}, surprise double")
-
-
-def bands(scored: DataFrame, *, width: float = WIDTH, fewest: int = FEWEST) -> DataFrame:
-    """(lang, lower, upper) of surprise; languages with too few documents are not in it."""
-    middle = scored.groupBy("lang").agg(F.percentile_approx("surprise", 0.5, 10_000).alias("middle"), F.count("surprise").alias("n"))
-    spread = scored.join(middle.filter(F.col("n") >= fewest), "lang").groupBy("lang").agg(
-        F.first("middle").alias("middle"), F.percentile_approx(F.abs(F.col("surprise") - F.col("middle")), 0.5, 10_000).alias("spread")
-    )
-    reach = width * F.greatest(1.4826 * F.col("spread"), F.lit(0.02))
-    return spread.select("lang", (F.col("middle") - reach).alias("lower"), (F.col("middle") + reach).alias("upper"))
+    return rows.mapInArrow(run, f"doc_id {id_type}, lang string, {', '.join(f'{c} long' for c in COUNTS)}, surprise double, n_bytes long, mixed double")
+
+
+def bands(scored: DataFrame, *, fewest: int = FEWEST) -> DataFrame:
+    """(lang, middle, and below and above it: between, byte) of surprise: the squared spread of a text of n bytes is between + byte / n.
+
+    Languages with too few documents are not in it.
+    """
+
+    def median(x):
+        return F.percentile_approx(x, 0.5, 10_000)
+
+    scored = scored.filter("surprise is not null").select("lang", "surprise", "n_bytes")
+    middle = scored.groupBy("lang").agg(median("surprise").alias("middle"), median("n_bytes").alias("half"), F.count("*").alias("n"))
+    away = scored.join(F.broadcast(middle.filter(F.col("n") >= fewest)), "lang").withColumn("away", F.col("surprise") - F.col("middle"))
+    found = [F.first("middle").alias("middle")]
+    for side, on in (("below", F.col("away") < 0), ("above", F.col("away") > 0)):
+        for part, mine in (("short", F.col("n_bytes") < F.col("half")), ("long", F.col("n_bytes") >= F.col("half"))):
+            found.append(median(F.when(on & mine, F.abs("away"))).alias(f"{side}_{part}"))
+            found.append(median(F.when(on & mine, 1 / F.col("n_bytes"))).alias(f"{side}_{part}_n"))
+    spread = away.groupBy("lang").agg(*found)
+    columns = ["lang", "middle"]
+    for side in ("below", "above"):
+        short, long = (F.pow(1.4826 * F.col(f"{side}_{part}"), 2) for part in ("short", "long"))
+        gap = F.col(f"{side}_short_n") - F.col(f"{side}_long_n")
+        # one byte strays by a nat or more; a whole language by LEAST or more between texts
+        byte = F.greatest(F.lit(1.0), F.when(gap > 0, (short - long) / gap))
+        between = F.greatest(F.lit(LEAST**2), long - byte * F.col(f"{side}_long_n"))
+        columns += [between.alias(f"{side}_between"), byte.alias(f"{side}_byte")]
+    return spread.select(*columns)
 
 
 def quality_rules(docs: DataFrame, *, width: float = WIDTH, fewest: int = FEWEST) -> DataFrame:
     """Per row of docs(doc_id, text, lang): doc_id, COUNTS, base_failed, kept, surprise."""
     scored = materialise(score(docs, language_models(docs)))
-    limits = bands(scored, width=width, fewest=fewest)
+    limits = F.broadcast(bands(scored, fewest=fewest))
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    fits = F.coalesce(F.col("surprise").between(F.col("lower"), F.col("upper")), F.lit(True))
-    return scored.join(limits, "lang", "left").select("doc_id", *COUNTS, failed.alias("base_failed"), (~failed & fits).alias("kept"), "surprise")
+    reach = {side: width * F.sqrt(F.col(f"{side}_between") + F.col(f"{side}_byte") / F.col("n_bytes")) for side in ("below", "above")}
+    fits = (F.col("surprise") >= F.col("middle") - reach["below"]) & (F.col("mixed") <= F.col("middle") + reach["above"])
+    return scored.join(limits, "lang", "left").select("doc_id", *COUNTS, failed.alias("base_failed"), (~failed & F.coalesce(fits, F.lit(True))).alias("kept"), "surprise")
