@@ -4,6 +4,7 @@ import base64
 import gzip
 import random
 import re
+import zlib
 from hashlib import sha256
 from urllib.parse import quote
 
@@ -103,6 +104,25 @@ def test_hidden_secrets_and_their_places():
     assert secret_scan.all_spans("plain words, no secret") == ([], [])
 
 
+def test_compressed_secrets_below_every_outer_layer():
+    """URL-safe and wrapped base64, percent-encoding that leaves letters bare, of gzip (any OS byte) and zlib data."""
+    wrapped = lambda b: base64.encodebytes(b).decode().rstrip("\n")
+    outer = {"base64": lambda b: base64.b64encode(b).decode(), "url-safe": lambda b: base64.urlsafe_b64encode(b).decode(), "wrapped": wrapped, "percent": quote}
+    r = random.Random(2)
+    filler = " ".join("%x" % r.getrandbits(30) for _ in range(60))
+    body = f"{filler} é password = hunter2hunter2 {filler}".encode()
+    packed = {"gzip": gzip.compress(body), "gzip os 255": gzip.compress(body, mtime=0)[:9] + b"\xff" + gzip.compress(body, mtime=0)[10:], "zlib": zlib.compress(body), "plain": body}
+    for o, wrap in outer.items():
+        for p, raw in packed.items():
+            for before in ("see ", "word\n"):
+                text = f"{before}{wrap(raw)} end"
+                base, full = secret_scan.all_spans(text)
+                assert set(full) - set(base), (o, p, before)
+                redacted = secret_scan.redact(text, full)
+                assert redacted.startswith(before) and redacted.endswith(" end"), (o, p, before)
+    assert secret_scan.all_spans("see " + "\n".join(["aaaaaaaaaaaa"] * 50))[1] == []
+
+
 def test_secret_tables(spark):
     rows = awkward_rows()
     got = secret_scan.scan_secrets(with_clashing_columns(frame(spark))).collect()

@@ -19,6 +19,7 @@ import lzma
 import re
 import zlib
 from hashlib import sha256
+from urllib.parse import unquote_to_bytes
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,11 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 
 ESCAPE = re.compile(r"(?:%[0-9A-Fa-f]{2})+|%u[0-9A-Fa-f]{4}|\\u\{[0-9A-Fa-f]{1,6}\}|\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}")
 BLOB = re.compile(r"[A-Za-z0-9+/]{12,}={0,2}|[A-Za-z0-9_-]{12,}={0,2}")
+RUN = re.compile(r"[A-Za-z0-9+/_-]+(?:\r?\n[A-Za-z0-9+/_-]+)*={0,2}")
+LINE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
+#: A run of percent escapes and the characters that percent-encoding leaves bare.
+MIXED = re.compile(r"[A-Za-z0-9_.~/+%-]+")
+MAGIC = re.compile(rb"\x1f\x8b|BZh|\xfd7zXZ\x00|[\x08-\x78][\x01\x5e\x9c\xda]")
 #: Unpacked bytes of one compressed layer beyond which it counts as a decompression bomb and stays packed.
 BOMB = 64 << 20
 
@@ -134,16 +140,44 @@ def undo_escapes(layer: Layer) -> list[Layer]:
         lows += [low[at : m.start()], low[starts]]
         highs += [high[at : m.start()], high[ends - 1]]
         at = m.end()
+    for m in MIXED.finditer(text):
+        if "%" not in m[0]:
+            continue
+        for raw in {unquote_to_bytes(m[0]), unquote_to_bytes(m[0].replace("+", " "))}:
+            for start in MAGIC.finditer(raw):
+                if (inner := packed_layer(raw[start.start() :], *layer.origin(m.start(), m.end()))) is not None:
+                    more.append(inner)
     if parts:
         more.append(Layer("".join([*parts, text[at:]]), np.concatenate([*lows, low[at:]]), np.concatenate([*highs, high[at:]])))
     return more
 
 
+def blobs(text: str) -> list[tuple[int, int]]:
+    """Runs of base64 letters of both alphabets, over line breaks too, and their parts: wrapped blocks, lines, one alphabet."""
+    found = {m.span() for m in BLOB.finditer(text)}
+    for m in RUN.finditer(text):
+        if m.end() - m.start() < 12:
+            continue
+        found.add(m.span())
+        lines = [x.span() for x in LINE.finditer(text, m.start(), m.end())]
+        found.update((a, b) for a, b in lines if b - a >= 12)
+        first = 0
+        for i, (a, b) in enumerate(lines):  # a wrapped block: lines of one width, and a last one that is no longer
+            width = lines[first][1] - lines[first][0]
+            if b - a != width or i == len(lines) - 1:
+                last = i if b - a <= width else i - 1
+                found.add((lines[first][0], lines[last][1]))
+                found.add((lines[first][0], lines[max(i - 1, first)][1]))
+                first = i
+    return sorted(x for x in found if x[1] - x[0] >= 12)
+
+
 def undo_base64(layer: Layer) -> list[Layer]:
     """A layer for each run of base64 letters (either alphabet) that holds readable text or compressed data."""
     out = []
-    for m in BLOB.finditer(layer.text):
-        letters = m[0].rstrip("=")
+    for start, end in blobs(layer.text):
+        run = layer.text[start:end].rstrip("=")
+        letters = run.replace("\r", "").replace("\n", "")
         if len(letters) % 4 == 1:
             letters = letters[:-1]
         try:
@@ -152,12 +186,14 @@ def undo_base64(layer: Layer) -> list[Layer]:
             continue
         text = readable(raw)
         if text is not None:
+            at = np.array([i for i, c in enumerate(run) if c not in "\r\n"]) if len(letters) < len(run) - 1 else np.arange(len(run))
+            at = start + np.append(at, np.arange(len(run), end - start))
             byte = np.cumsum([0] + [len(c.encode()) for c in text])
-            first = m.start() + byte[:-1] // 3 * 4
-            last = np.minimum(m.start() + (byte[1:] - 1) // 3 * 4 + 4, m.end())
+            first = at[byte[:-1] // 3 * 4]
+            last = at[np.minimum((byte[1:] - 1) // 3 * 4 + 3, len(at) - 1)]
             low, high = layer.borders()
-            out.append(Layer(text, low[first], high[last - 1]))
-        elif (inner := packed_layer(raw, *layer.origin(m.start(), m.end()))) is not None:
+            out.append(Layer(text, low[first], high[last]))
+        elif (inner := packed_layer(raw, *layer.origin(start, end))) is not None:
             out.append(inner)
     return out
 
