@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that one numpy step works on at a time; a longer text is a step of its own.
-STEP_BYTES = 1 << 20
+STEP_BYTES = 1 << 18
+#: Bytes of an Arrow batch between Spark and Python, so that a worker never holds much more than a step.
+BATCH_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,10 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; where it is unset (tests, local runs) a new temporary one."""
+    """The folder of spark.checkpoint.dir; where it is unset in a local session (tests) a new temporary one."""
     where = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if where:
         return where.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     where = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
     spark.conf.set("spark.checkpoint.dir", where)
     return where
@@ -46,6 +50,14 @@ def discard(*frames: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def map_batches(df: DataFrame, run, schema: str) -> DataFrame:
+    """df.mapInArrow(run, schema), with Arrow batches of this session bounded in bytes."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(df.sparkSession.conf.get(key).rstrip("b")) > BATCH_BYTES:
+        df.sparkSession.conf.set(key, BATCH_BYTES)
+    return df.mapInArrow(run, schema)
+
+
 def n_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from ._common import plain_text, text_steps, vocabulary
+from ._common import map_batches, plain_text, text_steps, vocabulary
 
 #: Entries that a worker's memories hold before they start anew (results stay the same).
 REMEMBERED = 300_000
@@ -188,4 +188,4 @@ def encode_decode(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     names = [id_col, "n_tokens", *(("ids_sha256", "decoded_sha256") if digests else ("ids", "decoded"))]
     kinds = ("string", "string") if digests else ("array<int>", "binary")
     rows = docs.select(docs[id_col], plain_text(text_col).alias("text"))
-    return rows.mapInArrow(run, f"`{id_col}` {id_type}, n_tokens long, {names[2]} {kinds[0]}, {names[3]} {kinds[1]}")
+    return map_batches(rows, run, f"`{id_col}` {id_type}, n_tokens long, {names[2]} {kinds[0]}, {names[3]} {kinds[1]}")

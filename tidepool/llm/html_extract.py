@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import text_steps
+from ._common import map_batches, text_steps
 
 # ---- parsing
 
@@ -384,4 +384,4 @@ def extract_pages(pages: DataFrame, *, model: TreeModel | None = None) -> DataFr
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], ["page_id", "url", "text", "n_chars"])
 
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
-    return rows.mapInArrow(run, f"page_id {kinds['page_id']}, url {kinds['url']}, text string, n_chars long")
+    return map_batches(rows, run, f"page_id {kinds['page_id']}, url {kinds['url']}, text string, n_chars long")

@@ -20,6 +20,8 @@ SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
+#: Powers of a base that a worker keeps; those of a longer text are made for it alone.
+KEPT_POWERS = (1 << 18) + 1024
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -27,11 +29,12 @@ def powers(base: int, n: int) -> np.ndarray:
     """base^0 .. base^(n-1) modulo 2^64."""
     have = _powers.get(base)
     if have is None or len(have) < n:
-        size = max(n, 1 << 20)
+        size = max(n, KEPT_POWERS)
         have = np.full(size, base, U)
         have[0] = 1
         np.multiply.accumulate(have, out=have)
-        _powers[base] = have
+        if size == KEPT_POWERS:
+            _powers[base] = have
     return have[:n]
 
 

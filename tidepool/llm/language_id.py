@@ -20,12 +20,11 @@ independent; columns other than the id, the text and the label are not read.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import plain_text, text_steps
+from ._common import map_batches, plain_text, text_steps
 
 BUCKETS = 1 << 15
 #: Bound of the labelled rows that the weights are fitted on.
@@ -143,13 +142,13 @@ def fit(docs: DataFrame, *, sample: int = SAMPLE, epochs: int = 6) -> dict:
             at = np.flatnonzero(documents)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at), pa.array(documents[at]), pa.array(uses[at])], ["lang", "bucket", "n", "uses"])
 
-    found = docs.select("text", "lang").mapInArrow(frequencies, "lang string, bucket long, n long, uses long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"), F.sum("uses").alias("uses")).toArrow().to_pandas()
+    found = map_batches(docs.select("text", "lang"), frequencies, "lang string, bucket long, n long, uses long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"), F.sum("uses").alias("uses")).toArrow().to_pandas()
     df, uses = np.zeros(BUCKETS), np.zeros((BUCKETS, len(languages)))
     np.add.at(df, found["bucket"], found["n"])
     uses[found["bucket"], found["lang"].map(languages.index).to_numpy(int)] = found["uses"]
     idf = np.log((1 + sum(counts.values())) / (1 + df)) + 1
 
-    quota = max(5, sample // len(languages))
+    quota = sample / len(languages)
     shares = docs.sparkSession.createDataFrame([(k, min(1.0, quota / n)) for k, n in counts.items()], "lang string, share double")
     chance = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / float(1 << 20)
     picked = docs.join(F.broadcast(shares), "lang").filter(chance < F.col("share"))
@@ -165,7 +164,7 @@ def fit(docs: DataFrame, *, sample: int = SAMPLE, epochs: int = 6) -> dict:
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(at, pa.list_(pa.int32())), pa.array(n, pa.list_(pa.int32()))], ["k", "lang", "at", "n"])
 
     rows = picked.select(F.crc32(F.concat(F.lit("order"), F.col("doc_id").cast("string"))).alias("k"), "text", "lang")
-    rows = rows.mapInArrow(vectors, "k long, lang string, at array<int>, n array<int>").toArrow().to_pandas().sort_values("k", kind="stable")
+    rows = map_batches(rows, vectors, "k long, lang string, at array<int>, n array<int>").toArrow().to_pandas().sort_values("k", kind="stable")
     counted = [(a, n, languages.index(k)) for a, n, k in zip(rows["at"], rows["n"], rows["lang"]) if len(a)]
     examples = [(a, SCALE * n / n.sum() * idf[a], languages.index(k)) for a, n, k in zip(rows["at"], rows["n"], rows["lang"]) if len(a)]
     held, used = examples[::5], [e for i, e in enumerate(examples) if i % 5]
@@ -260,7 +259,7 @@ def identify(docs: DataFrame, model: dict | None = None) -> DataFrame:
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(names, pa.string()), pa.array(scores)], ["doc_id", "held_out", "lang_pred", "score"])
 
     rows = docs.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), plain_text().alias("text"))
-    return rows.mapInArrow(run, f"doc_id {id_type}, held_out boolean, lang_pred string, score double")
+    return map_batches(rows, run, f"doc_id {id_type}, held_out boolean, lang_pred string, score double")
 
 
 def keep_identified(docs: DataFrame, *, least_score: float = 0.25, model: dict | None = None) -> DataFrame:
@@ -269,20 +268,14 @@ def keep_identified(docs: DataFrame, *, least_score: float = 0.25, model: dict |
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            keep = []
-            at = batch.schema.get_field_index("text")
-            for part, _ in text_steps([batch]):
-                names, scores = predict(shared.value, [t or "" for t in part.column(at).to_pylist()])
-                keep += [n != UNKNOWN and s >= least_score for n, s in zip(names, scores)]
-            yield batch.filter(pa.array(keep, pa.bool_()))
+        for part, _ in text_steps(batches):
+            names, scores = predict(shared.value, [t or "" for t in part.column(part.schema.get_field_index("text")).to_pylist()])
+            yield part.filter(pa.array([n != UNKNOWN and s >= least_score for n, s in zip(names, scores)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_batches(docs, run, docs.schema)
 
 
-def accuracy(predicted: DataFrame, docs: DataFrame) -> pd.DataFrame:
+def accuracy(predicted: DataFrame, docs: DataFrame):
     """Rows and share of right languages, held out and not, over rows with a label."""
     joined = predicted.join(docs.filter("lang is not null").select("doc_id", "lang"), "doc_id")
     return joined.groupBy("held_out").agg(F.count("*").alias("rows"), F.avg((F.col("lang_pred") == F.col("lang")).cast("double")).alias("right")).toPandas()

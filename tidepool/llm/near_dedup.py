@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from ._common import materialise, plain_text, text_steps
+from ._common import map_batches, materialise, plain_text, text_steps
 from .components import components
 
 SHINGLE = 5
@@ -110,7 +110,7 @@ def signatures(docs: DataFrame) -> DataFrame:
 
     names = ["doc_id", "n_shingles", "sig1", "sig2", "low", "a", "b"]
     rows = docs.select("doc_id", plain_text().alias("text"))
-    return rows.mapInArrow(run, f"doc_id {id_type}, n_shingles long, sig1 long, sig2 long, low array<int>, a array<long>, b array<long>")
+    return map_batches(rows, run, f"doc_id {id_type}, n_shingles long, sig1 long, sig2 long, low array<int>, a array<long>, b array<long>")
 
 
 def full_sets(docs: DataFrame) -> DataFrame:
@@ -131,7 +131,7 @@ def full_sets(docs: DataFrame) -> DataFrame:
             np.bitwise_xor.at(bits, (owner, (at >> K.U(6)).astype(np.int64)), K.U(1) << (at & K.U(63)))
             yield pa.RecordBatch.from_arrays([part.column(0), sets, _lists(bits.view(np.int64), BITS // 64, pa.int64())], ["doc_id", "shingles", "bits"])
 
-    return docs.select("doc_id", plain_text().alias("text")).mapInArrow(run, f"doc_id {id_type}, shingles array<long>, bits array<long>")
+    return map_batches(docs.select("doc_id", plain_text().alias("text")), run, f"doc_id {id_type}, shingles array<long>, bits array<long>")
 
 
 def _halves(reps: DataFrame, side: str, pos: str) -> DataFrame:

@@ -3,17 +3,19 @@
 A document's ids are cut into whole sequences of `size` and one remainder. The remainders' length histogram
 (at most size - 1 numbers, whatever the corpus) goes to the driver. There a linear program over patterns, that
 is sets of lengths that fit into one sequence, is solved: its first basis comes from a greedy fill, a knapsack
-dynamic program prices new patterns against the dual prices, and it ends when Farley's bound shows the gap to
-the optimum to be small. Numbers of patterns are rounded down. Documents are ranked within their length by
-bucketed counts, and a rank finds its pattern, sequence and offset by arithmetic in a join with the pattern
-table, whose size depends on `size` alone. What rounding leaves over, and patterns with more padding than
-`most_waste`, are laid end to end and cut at sequence borders, so only the last sequence is short.
+dynamic program prices new patterns against the dual prices (drawn to those with the best bound, which steadies
+them), and it ends when Farley's bound shows the gap to the optimum to be small. Numbers of patterns are rounded
+down. Documents are ranked within their length by bucketed counts, and a rank finds its pattern, sequence and
+offset by arithmetic in a join with the pattern table, whose size depends on `size` alone. What rounding leaves
+over, a few pieces per pattern whatever the corpus, goes into the fullest patterns that can be made of it; only
+pieces that no pattern takes with at most `most_waste` places of padding are laid end to end and cut.
 
 Ids are those of the tokenizers library for a byte_bpe .json file (special strings inside texts are ids of
 their own), followed by one end id. They are made by tiktoken's merger over that file's vocabulary, which
 gives the same ids in a fraction of the time; a test holds the two against each other.
 
-Null and empty texts are the end id alone. An empty table has no pieces. Ids may repeat: rows are ranked by
+Null and empty texts are the end id alone. A text of any length is cut into whole sequences and a remainder. An
+empty table has no pieces. Ids may repeat: rows are ranked by
 id, length and checksum, and what still ties is equal in every column that is used. Other columns are not read.
 """
 
@@ -21,16 +23,23 @@ from __future__ import annotations
 
 import json
 import zlib
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import materialise, n_partitions, plain_text, text_steps, vocabulary
+from ._common import map_batches, materialise, n_partitions, plain_text, text_steps, vocabulary
 from .token_counts import byte_letters
 
 SIZE = 1024
+#: How near to the linear program's bound pricing goes, and the most patterns that it asks for.
+GAP, ROUNDS = 2e-4, 2_000
+#: Share of the centre in prices.
+SMOOTH = 0.9
+#: Padding of a sequence beyond which its pattern isn't used.
+MOST_WASTE = 8
 #: Rows of the table of remainders to be cut up to which it is broadcast to find their texts.
 SMALL = 100_000
 
@@ -65,6 +74,15 @@ def crc(ids: np.ndarray) -> int:
 # ---- the linear program, on the driver, over the histogram
 
 
+class Solution(NamedTuple):
+    """(pattern, how often) of a linear program, their sum, a bound from below and how many patterns were priced."""
+
+    patterns: list[tuple[dict[int, int], float]]
+    value: float
+    bound: float
+    asked: int
+
+
 def greedy_patterns(demand: np.ndarray, size: int) -> list[tuple[dict[int, int], float]]:
     """Patterns from large to small lengths, each used until one of its lengths runs out: one pattern per length."""
     left, alive = demand.astype(float), demand > 0
@@ -107,12 +125,15 @@ def best_pattern(price: np.ndarray, size: int) -> tuple[float, dict[int, int]]:
     return float(best[size]), pattern
 
 
-def solve_patterns(demand: np.ndarray, size: int = SIZE, gap: float = 0.002, rounds: int = 1500) -> list[tuple[dict[int, int], float]]:
-    """(pattern, how often) covering demand[k] pieces of each length k in about the fewest sequences."""
+def solve_patterns(demand: np.ndarray, size: int = SIZE, gap: float = GAP, rounds: int = ROUNDS) -> Solution:
+    """Patterns that cover demand[k] pieces of each length k in about the fewest sequences.
+
+    No packing has fewer than `bound` sequences (Farley): the linear program's value over the worth of the best
+    pattern at its prices. Pricing ends when the value is within `gap` of it, never before it was asked.
+    """
     lengths = np.flatnonzero(demand)
     if not len(lengths):
-        return []
-    fewest = float((demand * np.arange(len(demand))).sum()) / size  # no packing has fewer sequences
+        return Solution([], 0.0, 0.0, 0)
     basis = greedy_patterns(demand, size)
     at = {int(k): i for i, k in enumerate(lengths)}
     matrix = np.zeros((len(lengths), len(basis)))
@@ -121,16 +142,25 @@ def solve_patterns(demand: np.ndarray, size: int = SIZE, gap: float = 0.002, rou
             matrix[at[k], j] = n
     inverse, x = np.linalg.inv(matrix), np.array([t for _, t in basis])
     patterns = [p for p, _ in basis]
-    for _ in range(rounds):
-        if x.sum() <= (1 + gap) * fewest:
-            break
-        price = np.full(size + 1, -1.0)
-        price[lengths] = inverse.sum(axis=0)
-        worth, pattern = best_pattern(price, size)
-        if worth <= 1 + 1e-9 or x.sum() * (1 - 1 / worth) <= gap * x.sum():
-            break
+    # prices in proportion to length give a first bound; of later ones those with the best bound are the centre that the next are drawn to
+    wanted, price = demand[lengths].astype(float), np.full(size + 1, -1.0)
+    price[lengths] = centre = lengths / size
+    bound, best, asked, pivots = float(centre @ wanted) / best_pattern(price, size)[0], 0.0, 1, 0
+    while asked < rounds and x.sum() - bound > gap * x.sum():
+        own = inverse.sum(axis=0)
+        for share in (SMOOTH, 0.0):
+            price[lengths] = mixed = share * centre + (1 - share) * own
+            worth, pattern = best_pattern(price, size)
+            asked += 1
+            if (found := float(mixed @ wanted) / max(worth, 1e-12)) > best:
+                best, centre = found, mixed / max(worth, 1e-12)
+                bound = max(bound, best)
+            if sum(own[at[k]] * n for k, n in pattern.items()) > 1 + 1e-9:
+                break
+        else:
+            break  # no pattern is worth more than a sequence: optimal
         column = inverse[:, [at[k] for k in pattern]] @ np.array(list(pattern.values()), float)
-        ok = column > 1e-9
+        ok = column > 1e-7
         ratio = np.where(ok, x / np.where(ok, column, 1), np.inf)
         leave = int(ratio.argmin())
         step = max(ratio[leave], 0.0)
@@ -141,8 +171,38 @@ def solve_patterns(demand: np.ndarray, size: int = SIZE, gap: float = 0.002, rou
         used = np.flatnonzero(np.abs(column) > 1e-12)
         inverse[used] -= np.outer(column[used], inverse[leave])
         patterns[leave] = pattern
+        pivots += 1
+        if pivots % 50 == 0:  # rounding errors of the updates go
+            matrix[:] = 0
+            for j, p in enumerate(patterns):
+                for k, n in p.items():
+                    matrix[at[k], j] = n
+            try:
+                inverse = np.linalg.inv(matrix)
+            except np.linalg.LinAlgError:  # no digits are left: what is found so far stands
+                break
+            x = inverse @ wanted
         np.maximum(x, 0, out=x)
-    return list(zip(patterns, x.tolist()))
+    return Solution(list(zip(patterns, x.tolist())), float(x.sum()), bound, asked)
+
+
+def fullest_pattern(left: np.ndarray, room: int) -> dict[int, int]:
+    """The longest piece that is left, and the other lengths, each at most once, that fill up most of the room."""
+    first = int(np.flatnonzero(left)[-1])
+    others = np.flatnonzero(left[: room - first + 1]).tolist()
+    if first <= room - first and left[first] == 1:
+        others.remove(first)
+    reach, steps = 1, []  # bit r: others taken so far can fill r places
+    mask = (1 << room - first + 1) - 1
+    for k in others:
+        steps.append(reach)
+        reach = (reach | reach << k) & mask
+    pattern, filled = {first: 1}, reach.bit_length() - 1
+    for k, before in zip(reversed(others), reversed(steps)):
+        if not before >> filled & 1:
+            pattern[k] = pattern.get(k, 0) + 1
+            filled -= k
+    return pattern
 
 
 def layout(demand: np.ndarray, size: int, most_waste: int) -> tuple[list[tuple], int]:
@@ -150,24 +210,40 @@ def layout(demand: np.ndarray, size: int, most_waste: int) -> tuple[list[tuple],
 
     Ranks of a length from first to end lie `per sequence` in each of successive sequences, from offset on. In
     a loose row (one per length at most) offset counts places of the laid out rest, from first sequence on.
+    Patterns of the linear program come first, as often as their rounded numbers say; what rounding leaves goes
+    into the fullest patterns of its own; pieces that find no pattern within most_waste are loose.
     """
     used, rows, sequence = np.zeros(size + 1, np.int64), [], 0
-    for pattern, times in solve_patterns(demand, size):
-        waste = size - sum(k * n for k, n in pattern.items())
-        times = min([int(times + 1e-6), *((int(demand[k]) - int(used[k])) // n for k, n in pattern.items())])
-        if waste > most_waste or times <= 0:
-            continue
+    free = demand.copy()
+
+    def place(pattern: dict[int, int], times: int):
+        nonlocal sequence
         offset = 0
         for k, n in sorted(pattern.items(), reverse=True):
             rows.append((k, int(used[k]), int(used[k]) + n * times, n, sequence, offset, False))
             used[k] += n * times
+            free[k] -= n * times
             offset += k * n
         sequence += times
-    place, first = 0, sequence
-    for k in np.flatnonzero(demand > used)[::-1].tolist():
-        rows.append((k, int(used[k]), int(demand[k]), 1, first, place, True))
-        place += k * int(demand[k] - used[k])
-    return rows, first + -(-place // size)
+
+    waste = lambda pattern: size - sum(k * n for k, n in pattern.items())
+    for pattern, times in solve_patterns(demand, size).patterns:
+        times = min([int(times + 1e-6), *(int(free[k]) // n for k, n in pattern.items())])
+        if times > 0 and waste(pattern) <= most_waste:
+            place(pattern, times)
+    loose = np.zeros_like(free)
+    while free.any():  # each turn uses up a length
+        pattern = fullest_pattern(free, size)
+        first = max(pattern)
+        if waste(pattern) <= most_waste:
+            place(pattern, min(int(free[k]) // n for k, n in pattern.items()))
+        else:
+            loose[first], free[first] = free[first], 0
+    rest, first = 0, sequence
+    for k in np.flatnonzero(loose)[::-1].tolist():
+        rows.append((k, int(used[k]), int(demand[k]), 1, first, rest, True))
+        rest += k * int(loose[k])
+    return rows, first + -(-rest // size)
 
 
 # ---- the Spark side
@@ -189,7 +265,7 @@ def _tokenized(docs: DataFrame, tokenizer: str, end_id: int, size: int) -> DataF
 
     names = ["doc_id", "doc_tokens", "rest_crc", "whole_crcs"]
     rows = docs.select("doc_id", plain_text().alias("text"))
-    return rows.mapInArrow(run, f"doc_id {id_type}, doc_tokens long, rest_crc long, whole_crcs array<long>")
+    return map_batches(rows, run, f"doc_id {id_type}, doc_tokens long, rest_crc long, whole_crcs array<long>")
 
 
 def _cut_pieces(texts: DataFrame, cuts: DataFrame, tokenizer: str, end_id: int, size: int) -> DataFrame:
@@ -197,9 +273,9 @@ def _cut_pieces(texts: DataFrame, cuts: DataFrame, tokenizer: str, end_id: int,
     id_type = texts.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        for batch in batches:
+        for part, _ in text_steps(batches):
             out = []
-            for doc_id, text, total, rest_crc, place in zip(*(batch.column(i).to_pylist() for i in range(5))):
+            for doc_id, text, total, rest_crc, place in zip(*(part.column(i).to_pylist() for i in range(5))):
                 ids = token_ids(text, tokenizer, end_id)
                 rest = ids[len(ids) // size * size :]
                 if len(ids) != total or crc(rest) != rest_crc:  # another row of this id
@@ -207,19 +283,19 @@ def _cut_pieces(texts: DataFrame, cuts: DataFrame, tokenizer: str, end_id: int,
                 k = size - place % size
                 out += [(doc_id, total - len(rest), k, crc(rest[:k]), total, place // size, place % size)]
                 out += [(doc_id, total - len(rest) + k, len(rest) - k, crc(rest[k:]), total, place // size + 1, 0)]
-            kinds = [batch.schema.field(0).type] + [pa.int64()] * 6
+            kinds = [part.schema.field(0).type] + [pa.int64()] * 6
             columns = zip(*out) if out else [[]] * 7
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], COLUMNS)
 
     # doc_id, text, doc_tokens, rest_crc, place
     rows = texts.join(cuts, texts["doc_id"].eqNullSafe(cuts["doc_id"])).select(texts["doc_id"], plain_text().alias("text"), "doc_tokens", "rest_crc", "place")
-    return rows.mapInArrow(run, f"doc_id {id_type}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+    return map_batches(rows, run, f"doc_id {id_type}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
 
 COLUMNS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
 
-def pack(docs: DataFrame, *, tokenizer: str = "byte_bpe_50k.json", end_id: int = 0, size: int = SIZE, most_waste: int = 0) -> DataFrame:
+def pack(docs: DataFrame, *, tokenizer: str = "byte_bpe_50k.json", end_id: int = 0, size: int = SIZE, most_waste: int = MOST_WASTE) -> DataFrame:
     """One row per piece of docs(doc_id, text): COLUMNS; pieces of a sequence lie gapless from offset 0."""
     spark = docs.sparkSession
     rows = materialise(_tokenized(docs, tokenizer, end_id, size))

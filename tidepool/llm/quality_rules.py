@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from ._common import materialise, plain_text, text_steps
+from ._common import map_batches, materialise, plain_text, text_steps
 
 SYMBOLS = 64
 ORDER = 4
@@ -106,7 +106,7 @@ def count_grams(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(codes), pa.string()), pa.array(codes, pa.int32()), pa.array(n)], ["lang", "gram", "n"])
 
     rows = docs.select(plain_text().alias("text"), F.coalesce("lang", F.lit("")).alias("lang"))
-    return rows.mapInArrow(run, "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    return map_batches(rows, run, "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
 def _discounts(n: np.ndarray) -> np.ndarray:
@@ -238,7 +238,7 @@ def score(docs: DataFrame, models: dict[str, dict[str, np.ndarray]]) -> DataFram
 
     names = ["doc_id", "lang", *COUNTS, "surprise", "n_bytes", "mixed"]
     rows = docs.select("doc_id", plain_text().alias("text"), F.coalesce("lang", F.lit("")).alias("lang"))
-    return rows.mapInArrow(run, f"doc_id {id_type}, lang string, {', '.join(f'{c} long' for c in COUNTS)}, surprise double, n_bytes long, mixed double")
+    return map_batches(rows, run, f"doc_id {id_type}, lang string, {', '.join(f'{c} long' for c in COUNTS)}, surprise double, n_bytes long, mixed double")
 
 
 def bands(scored: DataFrame, *, fewest: int = FEWEST) -> DataFrame:

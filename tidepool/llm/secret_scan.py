@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ._common import plain_text, text_steps
+from ._common import map_batches, plain_text, text_steps
 
 KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -249,7 +249,7 @@ def scan_secrets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
 
     names = [id_col, "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_hidden"]
     rows = docs.select(docs[id_col], plain_text(text_col).alias("text"))
-    return rows.mapInArrow(run, f"`{id_col}` {id_type}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_hidden long")
+    return map_batches(rows, run, f"`{id_col}` {id_type}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_hidden long")
 
 
 def redact_secrets(docs: DataFrame, *, text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
@@ -262,4 +262,4 @@ def redact_secrets(docs: DataFrame, *, text_col: str = "text", mark: str = "[SEC
             texts = [None if t is None else (redact(t, s, mark) if (s := all_spans(t)[1]) else t) for t in batch.column(at).to_pylist()]
             yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
 
-    return docs.mapInArrow(run, schema)
+    return map_batches(docs, run, schema)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from ._common import discard, materialise, plain_text, text_steps
+from ._common import discard, map_batches, materialise, plain_text, text_steps
 
 WINDOW = 35
 HALF = (WINDOW + 1) // 2
@@ -73,7 +73,7 @@ def _anchors(keyed: DataFrame) -> DataFrame:
                 rows = w.rows[at]
                 yield _out(part, rows, [pa.array((at - w.first[rows]).astype(np.int32)), pa.array(w.quarter[at].view(np.int64))], ["p", "h"])
 
-    return keyed.mapInArrow(run, "_doc long, _th int, p int, h long")
+    return map_batches(keyed, run, "_doc long, _th int, p int, h long")
 
 
 def _chosen(lists: pa.Array, w: _Windows) -> np.ndarray:
@@ -112,7 +112,7 @@ def _units(kept: DataFrame) -> DataFrame:
             columns = [pa.array(x) for x in (half.view(np.int64), (at - w.first[rows]).astype(np.int32), n.astype(np.int32), whole[0].view(np.int64), whole[1].view(np.int64))]
             yield _out(part, rows, columns, ["h", "i", "n", "s1", "s2"])
 
-    return kept.mapInArrow(run, "_doc long, _th int, h long, i int, n int, s1 long, s2 long")
+    return map_batches(kept, run, "_doc long, _th int, h long, i int, n int, s1 long, s2 long")
 
 
 def _single_windows(kept: DataFrame) -> DataFrame:
@@ -127,7 +127,7 @@ def _single_windows(kept: DataFrame) -> DataFrame:
                 hashes = [pa.array(K.window_hash(w.words, WINDOW, k)[at].view(np.int64)) for k in (0, 1)]
                 yield _out(part, rows, [pa.array((at - w.first[rows]).astype(np.int32)), *hashes], ["i", "h1", "h2"])
 
-    return kept.mapInArrow(run, "_doc long, _th int, i int, h1 long, h2 long")
+    return map_batches(kept, run, "_doc long, _th int, i int, h1 long, h2 long")
 
 
 def repeated_windows(docs: DataFrame) -> DataFrame:
@@ -196,7 +196,7 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     names = ["doc_id", "n_words", "n_removed", "kept_sha256"]
     none = F.expr("cast(array() as array<int>)")
     rows = _with_ranges(docs.select("doc_id", "text"), "gone").select("doc_id", plain_text().alias("text"), F.coalesce("gone", none).alias("gone"))
-    return rows.mapInArrow(run, f"doc_id {id_type}, n_words long, n_removed long, kept_sha256 string")
+    return map_batches(rows, run, f"doc_id {id_type}, n_words long, n_removed long, kept_sha256 string")
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -235,7 +235,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             yield out.filter(pa.compute.is_valid(out.column(at)))
 
     ranged = _with_ranges(docs, mark)
-    changed = ranged.filter(ranged[mark].isNotNull()).mapInArrow(run, docs.schema)
+    changed = map_batches(ranged.filter(ranged[mark].isNotNull()), run, docs.schema)
     return ranged.filter(ranged[mark].isNull()).drop(mark).union(changed)
 
 

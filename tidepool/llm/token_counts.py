@@ -19,7 +19,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from ._common import plain_text, text_steps, vocabulary
+from ._common import map_batches, plain_text, text_steps, vocabulary
 
 #: Distinct pre-tokens whose counts a worker remembers; beyond it the memory starts anew (counts stay the same).
 REMEMBERED = 400_000
@@ -133,4 +133,4 @@ def token_counts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
             )
 
     rows = docs.select(docs[id_col], plain_text(text_col).alias("text"))
-    return rows.mapInArrow(run, f"`{id_col}` {id_type}, n_bytes long, n_tokens long, over_limit boolean")
+    return map_batches(rows, run, f"`{id_col}` {id_type}, n_bytes long, n_tokens long, over_limit boolean")
