@@ -51,6 +51,15 @@ def test_rank_merger_equals_library(texts):
     assert m.counts(texts) == want
 
 
+def test_long_pre_tokens():
+    """Texts that are one pre-token, by the queue of ranks."""
+    r = random.Random(3)
+    m = token_counts.merger(P.path("byte_bpe_50k.json"), P.PATTERN)
+    texts = ["a" * 4001, "ab" * 3000, "thethe" * 700, "-" * 5003, "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(20_000)), "".join(r.choice("aaaabn") for _ in range(9000)), "é日" * 900]
+    assert m.counts(texts) == [len(LIBRARY.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert [m.count_long(t.encode()) for t in texts[:4]] == m.count([t.encode() for t in texts[:4]]).tolist()
+
+
 @settings(max_examples=100, deadline=None)
 @given(TEXT)
 def test_packing_ids_equal_library(text):
@@ -123,6 +132,58 @@ def test_compressed_secrets_below_every_outer_layer():
     assert secret_scan.all_spans("see " + "\n".join(["aaaaaaaaaaaa"] * 50))[1] == []
 
 
+def test_random_nests_of_layers():
+    """A secret below one to four random layers is found and redacted, whatever stands around."""
+    import bz2
+    import lzma
+
+    r = random.Random(17)
+
+    def words(n):
+        return " ".join("".join(r.choice("abcdefghilmnoprstuvéü") for _ in range(r.randint(2, 9))) for _ in range(n))
+
+    def wrapped(raw):
+        width, letters = r.choice((20, 40, 64, 76)), base64.b64encode(raw).decode()
+        return "\n".join(letters[i : i + width] for i in range(0, len(letters), width))
+
+    letters = [lambda x: base64.b64encode(x).decode(), lambda x: base64.urlsafe_b64encode(x).decode(), lambda x: base64.urlsafe_b64encode(x).decode().rstrip("="), wrapped]
+    packed = [gzip.compress, zlib.compress, bz2.compress, lzma.compress, lambda x: gzip.compress(x) + gzip.compress(b"tail"), lambda x: gzip.compress(b"head") + gzip.compress(x)]
+    into = lambda raw: r.choice(letters)(raw)
+    layers = {
+        "url": lambda s: quote(s, safe=""),
+        "some url": quote,
+        "unicode": lambda s: "".join("\\u%04x" % ord(c) for c in s),
+        "base64": lambda s: into(s.encode()),
+        "utf-16": lambda s: into(s.encode(r.choice(("utf-16", "utf-16-le", "utf-16-be")))),
+        "latin": lambda s: into(s.encode("latin-1")),
+        "control": lambda s: into(("\x00\x01" + s + "\x02").encode()),
+        "packed": lambda s: into(r.choice(packed)(s.encode())),
+        "packed twice": lambda s: into(r.choice(packed)(r.choice(packed)(s.encode()))),
+        "packed url": lambda s: quote(r.choice(packed)(s.encode())),
+    }
+    for _ in range(1500):
+        inner, used = f"{words(r.randint(0, 9))} password = hunter2hunter2 {words(r.randint(0, 9))}", []
+        while len(used) < r.randint(1, 4) and len(inner) < 20_000:
+            used.append(r.choice(list(layers)))
+            inner = layers[used[-1]](inner)
+            if r.random() < 0.4:
+                inner = f"{words(r.randint(1, 5))} {inner} {words(r.randint(1, 5))}"
+        text = words(4) + r.choice((" ", "abcd", " x=", ": ")) + inner + " " + words(3)
+        start = text.index(inner)
+        full = secret_scan.all_spans(text)[1]
+        assert any(kind == 0 and s < start + len(inner) and e > start for kind, s, e in full), (used, text)
+
+
+def test_large_layers_are_scanned_to_their_end():
+    """Beyond the pieces that unpacked data is read in, and after a first member."""
+    far = b"nothing here. " * 900_000
+    secret = b" token = abcdefgh12345678 "
+    for raw in (far + secret, far[: secret_scan.PIECE - 9] + secret + far):
+        text = "see " + base64.b64encode(gzip.compress(raw)).decode() + " end"
+        found = secret_scan.all_spans(text)[1]
+        assert any(kind == 0 and start >= 4 and end <= len(text) - 4 for kind, start, end in found)
+
+
 def test_secret_tables(spark):
     rows = awkward_rows()
     got = secret_scan.scan_secrets(with_clashing_columns(frame(spark))).collect()

@@ -2,17 +2,21 @@
 
 Every text is scanned for three kinds of secrets. Then its layers are unwrapped: URL escapes and Unicode
 escapes in place (so a match may join decoded and plain characters), base64 blobs and compressed data as
-layers of their own. Each new layer is scanned and put on the worklist again, until nothing new appears; a
+layers of their own. A blob is decoded at each of its four phases, as letters may stand right before it, and its
+bytes may be UTF-8, UTF-16 or, if they are neither, single-byte characters. Each new layer is scanned and put on the worklist again, until nothing new appears; a
 layer whose content was seen before (a cycle, or two ways to one content at one place) is not taken again.
 Each character of a layer knows the range of the original text it came from, so spans of any depth are given
 in code points of the original.
 
-Null text is empty. Rows are independent: ties, repeats and other columns need no care.
+Unpacked data is read in pieces of PIECE characters with an overlap of OVERLAP, so a layer of any size is scanned
+to its end in bounded memory; a compressed layer's secrets all stand for its whole place in the text.
+
+Null and empty texts have no spans; a text of any length is scanned whole; an empty table has no rows. Rows are
+independent: ties, repeats and other columns need no care, and ids may be null.
 """
 
 from __future__ import annotations
 
-import base64
 import binascii
 import bz2
 import lzma
@@ -33,14 +37,17 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
 
 ESCAPE = re.compile(r"(?:%[0-9A-Fa-f]{2})+|%u[0-9A-Fa-f]{4}|\\u\{[0-9A-Fa-f]{1,6}\}|\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}")
-BLOB = re.compile(r"[A-Za-z0-9+/]{12,}={0,2}|[A-Za-z0-9_-]{12,}={0,2}")
 RUN = re.compile(r"[A-Za-z0-9+/_-]+(?:\r?\n[A-Za-z0-9+/_-]+)*={0,2}")
 LINE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
 #: A run of percent escapes and the characters that percent-encoding leaves bare.
 MIXED = re.compile(r"[A-Za-z0-9_.~/+%-]+")
 MAGIC = re.compile(rb"\x1f\x8b|BZh|\xfd7zXZ\x00|[\x08-\x78][\x01\x5e\x9c\xda]")
-#: Unpacked bytes of one compressed layer beyond which it counts as a decompression bomb and stays packed.
-BOMB = 64 << 20
+#: What decoded bytes must hold to be worth a layer: a secret's beginning, an escape, or a run that may be base64.
+TELLING = re.compile(rb"password|passwd|secret|token|api_?key|AKIA|[0-9a-f]{32}|%[0-9a-f]{2}|\\[ux]|[a-z0-9+/_-]{12}", re.I)
+WIDE = re.compile(rb"(?:[\x09-\x7e]\x00){6}")
+#: Characters of one piece of unpacked data, and those that the next piece begins with again.
+PIECE, OVERLAP = 4 << 20, 256 << 10
+FEWEST = 12
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -52,12 +59,14 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 class Layer:
-    """Decoded text and, per character, the range of the original it stands for (None: the text itself)."""
+    """Decoded text and, per character, the range of the original it stands for; or one place for all of it; or the text itself."""
 
-    def __init__(self, text: str, low: np.ndarray | None = None, high: np.ndarray | None = None):
-        self.text, self.low, self.high = text, low, high
+    def __init__(self, text: str, low: np.ndarray | None = None, high: np.ndarray | None = None, place: tuple[int, int] | None = None):
+        self.text, self.low, self.high, self.place = text, low, high, place
 
     def origin(self, start: int, end: int) -> tuple[int, int]:
+        if self.place is not None:
+            return self.place
         if self.low is None:
             return start, end
         return int(self.low[start:end].min()), int(self.high[start:end].max())
@@ -69,55 +78,75 @@ class Layer:
         return self.low, self.high
 
 
-def unpack(raw: bytes) -> bytes | None:
-    """What gzip, zlib, bzip2 or xz data hold, else None."""
-    try:
-        if raw[:2] == b"\x1f\x8b" or len(raw) > 6 and raw[0] & 15 == 8 and (raw[0] << 8 | raw[1]) % 31 == 0:
-            d = zlib.decompressobj(47)
-        elif raw[:3] == b"BZh":
-            d = bz2.BZ2Decompressor()
-        elif raw[:6] == b"\xfd7zXZ\x00":
-            d = lzma.LZMADecompressor()
-        else:
-            return None
-        out = d.decompress(raw, BOMB)
-        return out if d.eof else None
-    except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
-        return None
+class Unpacker:
+    """The bytes of gzip, zlib, bzip2 or xz data, member after member, in pieces of bounded size."""
 
+    def __init__(self, raw: bytes):
+        self.raw = raw
 
-def readable(raw: bytes) -> str | None:
-    """raw as text, if it is UTF-8 without control characters."""
+    @staticmethod
+    def start(raw: bytes):
+        if raw[:2] == b"\x1f\x8b" or len(raw) > 6 and raw[0] & 15 == 8 and (raw[0] << 8 | raw[1]) % 31 == 0:
+            return zlib.decompressobj(47)
+        if raw[:3] == b"BZh":
+            return bz2.BZ2Decompressor()
+        return lzma.LZMADecompressor() if raw[:6] == b"\xfd7zXZ\x00" else None
+
+    def pieces(self):
+        """All that can be unpacked: damaged data end early."""
+        raw = self.raw
+        try:
+            while (d := self.start(raw)) is not None:
+                feed = raw
+                while not d.eof:
+                    out = d.decompress(feed, PIECE)
+                    feed = d.unconsumed_tail if hasattr(d, "unconsumed_tail") else b""
+                    if not out and not d.eof:
+                        return  # cut short
+                    if out:
+                        yield out
+                raw = d.unused_data
+        except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
+            return
+
+
+def readable(raw: bytes) -> list[tuple[str, np.ndarray]]:
+    """raw as text, each with the first byte of its characters and the end: UTF-8, UTF-16 of mostly narrow letters, or one byte a character."""
+    out = []
+    if (m := WIDE.search(raw)) is not None:
+        odd = m.start() % 2  # big-endian data, one byte on, read the same where letters are narrow
+        text = (raw[odd:] + b"\x00" * ((len(raw) - odd) % 2)).decode("utf-16-le", "replace")
+        out.append((text, np.minimum(odd + np.cumsum([0, *(2 if c < "\U00010000" else 4 for c in text)]), len(raw))))
     try:
         text = raw.decode()
+        out.append((text, np.arange(len(raw) + 1) if len(text) == len(raw) else np.cumsum([0] + [len(c.encode()) for c in text])))
     except UnicodeDecodeError:
-        return None
-    return text if text and all(c.isprintable() or c in "\t\n\r" for c in text) else None
-
-
-def whole(text: str, low: int, high: int) -> Layer:
-    return Layer(text, np.full(len(text), low), np.full(len(text), high))
+        if TELLING.search(raw) is not None:
+            out.append((raw.decode("latin-1"), np.arange(len(raw) + 1)))
+    return out
 
 
-def packed_layer(raw: bytes, low: int, high: int) -> Layer | None:
-    """The layer inside compressed data, however often it was compressed; all of it stands for low..high."""
-    seen = set()
-    inner = unpack(raw)
-    while inner is not None:
-        text = readable(inner)
-        if text is not None:
-            return whole(text, low, high)
-        if inner in seen:
-            return None
-        seen.add(inner)
-        inner = unpack(inner)
-    return None
+def packed_layers(raw: bytes, place: tuple[int, int], seen: set | None = None) -> list[Layer]:
+    """The layers inside compressed data, however often and wherever in it more is compressed; all of them stand for `place`."""
+    out, carried, seen = [], b"", set() if seen is None else seen
+    for piece in Unpacker(raw).pieces():
+        inner = carried + piece
+        if TELLING.search(inner) is not None or WIDE.search(inner) is not None:
+            out += [Layer(text, place=place) for text, _ in readable(inner)]
+        for magic in MAGIC.finditer(inner):
+            packed = inner[magic.start() :]
+            if Unpacker.start(packed) is not None and (key := sha256(packed).digest()) not in seen:
+                seen.add(key)
+                out += packed_layers(packed, place, seen)
+        carried = inner[-OVERLAP:]
+    return out
 
 
 def undo_escapes(layer: Layer) -> list[Layer]:
     """The layer with its URL and Unicode escapes decoded; compressed bytes in a run of escapes besides."""
-    text, (low, high) = layer.text, layer.borders()
-    parts, lows, highs, more, at = [], [], [], [], 0
+    text, more = layer.text, []
+    low, high = (None, None) if layer.place is not None else layer.borders()
+    parts, lows, highs, at = [], [], [], 0
     for m in ESCAPE.finditer(text):
         token = m[0]
         if token[1] in "uU" or token[0] == "\\":
@@ -127,40 +156,42 @@ def undo_escapes(layer: Layer) -> list[Layer]:
             chars, widths = chr(code), [len(token)]
         else:
             raw = bytes.fromhex(token.replace("%", ""))
-            chars, widths = raw.decode("utf-8", "replace"), None
-            if (inner := packed_layer(raw, *layer.origin(m.start(), m.end()))) is not None:
-                more.append(inner)
-            if "�" not in chars:
+            if MAGIC.match(raw):
+                more += packed_layers(raw, layer.origin(m.start(), m.end()))
+            try:
+                chars = raw.decode()
                 widths = [3 * len(c.encode()) for c in chars]
-            else:
+            except UnicodeDecodeError:
                 chars, widths = raw.decode("latin-1"), [3] * len(raw)
         parts += [text[at : m.start()], chars]
-        ends = m.start() + np.cumsum(widths)
-        starts = ends - widths
-        lows += [low[at : m.start()], low[starts]]
-        highs += [high[at : m.start()], high[ends - 1]]
+        if low is not None:
+            ends = m.start() + np.cumsum(widths)
+            lows += [low[at : m.start()], low[ends - widths]]
+            highs += [high[at : m.start()], high[ends - 1]]
         at = m.end()
     for m in MIXED.finditer(text):
         if "%" not in m[0]:
             continue
         for raw in {unquote_to_bytes(m[0]), unquote_to_bytes(m[0].replace("+", " "))}:
             for start in MAGIC.finditer(raw):
-                if (inner := packed_layer(raw[start.start() :], *layer.origin(m.start(), m.end()))) is not None:
-                    more.append(inner)
+                more += packed_layers(raw[start.start() :], layer.origin(m.start(), m.end()))
     if parts:
-        more.append(Layer("".join([*parts, text[at:]]), np.concatenate([*lows, low[at:]]), np.concatenate([*highs, high[at:]])))
+        decoded = "".join([*parts, text[at:]])
+        more.append(Layer(decoded, place=layer.place) if low is None else Layer(decoded, np.concatenate([*lows, low[at:]]), np.concatenate([*highs, high[at:]])))
     return more
 
 
 def blobs(text: str) -> list[tuple[int, int]]:
-    """Runs of base64 letters of both alphabets, over line breaks too, and their parts: wrapped blocks, lines, one alphabet."""
-    found = {m.span() for m in BLOB.finditer(text)}
+    """Runs of base64 letters of both alphabets, over line breaks too, and their parts: wrapped blocks and lines."""
+    found = set()
     for m in RUN.finditer(text):
-        if m.end() - m.start() < 12:
+        if m.end() - m.start() < FEWEST:
             continue
         found.add(m.span())
+        if "\n" not in m[0]:
+            continue
         lines = [x.span() for x in LINE.finditer(text, m.start(), m.end())]
-        found.update((a, b) for a, b in lines if b - a >= 12)
+        found.update((a, b) for a, b in lines if b - a >= FEWEST)
         first = 0
         for i, (a, b) in enumerate(lines):  # a wrapped block: lines of one width, and a last one that is no longer
             width = lines[first][1] - lines[first][0]
@@ -169,32 +200,36 @@ def blobs(text: str) -> list[tuple[int, int]]:
                 found.add((lines[first][0], lines[last][1]))
                 found.add((lines[first][0], lines[max(i - 1, first)][1]))
                 first = i
-    return sorted(x for x in found if x[1] - x[0] >= 12)
+    return sorted(x for x in found if x[1] - x[0] >= FEWEST)
 
 
 def undo_base64(layer: Layer) -> list[Layer]:
-    """A layer for each run of base64 letters (either alphabet) that holds readable text or compressed data."""
+    """A layer for each run of base64 letters (either alphabet, any phase) that holds something telling or compressed data."""
     out = []
     for start, end in blobs(layer.text):
         run = layer.text[start:end].rstrip("=")
-        letters = run.replace("\r", "").replace("\n", "")
-        if len(letters) % 4 == 1:
-            letters = letters[:-1]
-        try:
-            raw = base64.b64decode(letters.replace("-", "+").replace("_", "/") + "=" * (-len(letters) % 4))
-        except (binascii.Error, ValueError):
-            continue
-        text = readable(raw)
-        if text is not None:
-            at = np.array([i for i, c in enumerate(run) if c not in "\r\n"]) if len(letters) < len(run) - 1 else np.arange(len(run))
-            at = start + np.append(at, np.arange(len(run), end - start))
-            byte = np.cumsum([0] + [len(c.encode()) for c in text])
-            first = at[byte[:-1] // 3 * 4]
-            last = at[np.minimum((byte[1:] - 1) // 3 * 4 + 3, len(at) - 1)]
+        letters = run.replace("\r", "").replace("\n", "").replace("-", "+").replace("_", "/")
+        for phase in range(4):
+            used = letters[phase:]
+            if len(used) % 4 == 1:
+                used = used[:-1]
+            raw = binascii.a2b_base64(used + "=" * (-len(used) % 4))
+            for magic in MAGIC.finditer(raw):
+                first = phase + magic.start() // 3 * 4 + magic.start() % 3
+                first += sum(c in "\r\n" for c in run[: first + 2 * run.count("\n")]) if "\n" in run else 0
+                out += packed_layers(raw[magic.start() :], layer.origin(min(start + first, end - 1), end))
+            if TELLING.search(raw) is None and WIDE.search(raw) is None:
+                continue
+            if layer.place is not None:
+                out += [Layer(text, place=layer.place) for text, _ in readable(raw)]
+                continue
+            at = np.array([i for i, c in enumerate(run) if c not in "\r\n"]) if len(letters) < len(run) else np.arange(len(run))
+            at = start + at[phase:]
             low, high = layer.borders()
-            out.append(Layer(text, low[first], high[last]))
-        elif (inner := packed_layer(raw, *layer.origin(start, end))) is not None:
-            out.append(inner)
+            for text, byte in readable(raw):
+                first = at[np.minimum(byte[:-1] // 3 * 4 + byte[:-1] % 3, len(at) - 1)]
+                last = at[np.minimum((byte[1:] - 1) // 3 * 4 + (byte[1:] - 1) % 3 + 1, len(at) - 1)]
+                out.append(Layer(text, low[first], high[last]))
     return out
 
 
@@ -209,8 +244,10 @@ def all_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, in
             children += undo_escapes(layer)
         children += undo_base64(layer)
         for child in children:
-            place = (child.text, int(child.low[0]), int(child.high[-1])) if child.text else None
-            if place is None or place in seen:
+            if not child.text:
+                continue
+            place = (child.text, *child.origin(0, len(child.text)))
+            if place in seen:
                 continue
             seen.add(place)
             found.update((kind, *child.origin(start, end)) for kind, start, end in base_spans(child.text))
@@ -257,9 +294,9 @@ def redact_secrets(docs: DataFrame, *, text_col: str = "text", mark: str = "[SEC
     schema = docs.schema
 
     def run(batches):
-        for batch in batches:
-            at = batch.schema.get_field_index(text_col)
-            texts = [None if t is None else (redact(t, s, mark) if (s := all_spans(t)[1]) else t) for t in batch.column(at).to_pylist()]
-            yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
+        for part, _ in text_steps(batches, text_col):
+            at = part.schema.get_field_index(text_col)
+            texts = [None if t is None else (redact(t, s, mark) if (s := all_spans(t)[1]) else t) for t in part.column(at).to_pylist()]
+            yield part.set_column(at, part.schema.field(at), pa.array(texts, part.schema.field(at).type))
 
     return map_batches(docs, run, schema)
