@@ -6,13 +6,17 @@ step. A merge can only create pairs of a higher rank, as the merged symbol was l
 holds it, so a round equals the one-at-a-time order. A sequence is done when no pair of it has a rank; its
 surviving symbols are its tokens.
 
-Null text counts as empty. Texts of any length, ties and repeated rows need no care: rows are independent.
-Other columns of the input are ignored, whatever their names.
+A pre-token of over LONG bytes is a sequence of its own: its places are kept in arrays by the rank of their pair,
+so a round touches the places of the lowest rank and their neighbours only, and work grows in proportion.
+
+Null and empty texts have no tokens; an empty table has no rows. Ties, repeated rows and null ids need no care:
+rows are independent. Other columns of the input are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 import json
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +28,8 @@ from ._common import map_batches, plain_text, text_steps, vocabulary
 #: Distinct pre-tokens whose counts a worker remembers; beyond it the memory starts anew (counts stay the same).
 REMEMBERED = 400_000
 NONE = np.int64(1 << 40)
+#: Bytes of a pre-token from which it is merged alone.
+LONG = 256
 
 
 def byte_letters() -> dict[str, int]:
@@ -89,6 +95,57 @@ class RankMerger:
             symbols, seq = symbols[keep], seq[keep]
         return result
 
+    def count_long(self, raw: bytes) -> int:
+        """The number of tokens of one long pre-token."""
+        symbols = self.byte_id[np.frombuffer(raw, np.uint8)]
+        n = len(symbols)
+        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        now = np.full(n + 1, NONE)  # rank of the pair that begins at a place
+        now[: n - 1] = self._rank(symbols[:-1], symbols[1:])
+        waiting: dict[int, list[np.ndarray]] = {}
+        queue: list[int] = []
+        tokens = n
+
+        def wait(places: np.ndarray):
+            places = places[now[places] < NONE]
+            places = places[np.argsort(now[places], kind="stable")]
+            ranks = now[places]
+            for part in np.split(places, np.flatnonzero(np.diff(ranks)) + 1) if len(places) else ():
+                rank = int(now[part[0]])
+                if rank not in waiting:
+                    waiting[rank] = []
+                    heappush(queue, rank)
+                waiting[rank].append(part)
+
+        wait(np.arange(n))
+        while queue:
+            rank = heappop(queue)
+            parts = waiting.pop(rank)
+            at = parts[0] if len(parts) == 1 else np.unique(np.concatenate(parts))
+            at = at[now[at] == rank]
+            if len(at) > 1:  # of places that overlap (a a a), every second one from the left
+                new_run = np.r_[True, after[at[:-1]] != at[1:]]
+                start = np.maximum.accumulate(np.where(new_run, np.arange(len(at)), 0))
+                at = at[(np.arange(len(at)) - start) % 2 == 0]
+            if not len(at):
+                continue
+            gone = after[at]
+            following = after[gone]
+            symbols[at] = self.merged[rank]
+            now[gone] = NONE
+            after[at] = following
+            inner = following < n
+            before[following[inner]] = at[inner]
+            left = before[at]
+            touched = np.unique(np.r_[at, left[left >= 0]])
+            ends = after[touched] >= n
+            now[touched[ends]] = NONE
+            touched = touched[~ends]
+            now[touched] = self._rank(symbols[touched], symbols[after[touched]])
+            wait(touched)
+            tokens -= len(at)
+        return tokens
+
     def counts(self, texts: list[str]) -> list[int]:
         """The number of tokens of each text; special strings in a text are one token each."""
         split, extra = [], []
@@ -103,7 +160,10 @@ class RankMerger:
             self.known.clear()
         new = list({p for pre in split for p in pre} - self.known.keys())
         if new:
-            self.known.update(zip(new, self.count([p.encode() for p in new]).tolist()))
+            raw = [p.encode() for p in new]
+            short = [b for b in raw if len(b) <= LONG]
+            n_short = iter(self.count(short).tolist())
+            self.known.update((p, next(n_short) if len(b) <= LONG else self.count_long(b)) for p, b in zip(new, raw))
         get = self.known.__getitem__
         return [sum(map(get, pre)) + e for pre, e in zip(split, extra)]
 
