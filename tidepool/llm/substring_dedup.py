@@ -9,7 +9,7 @@ all their windows are repeated; else their windows are counted one by one at the
 that are alone at a level end there.
 
 Windows are judged on the input. A repeated row counts as another place. Words are runs of bytes other than
-space and \\t \\n \\v \\f \\r; null and empty texts have none, texts under 35 words have no window. Hashes of
+space and \\t \\n \\v \\f \\r; null and empty texts have none, texts under 35 words have no window; an empty table has no rows. Hashes of
 places are 64 bits wide; windows and units also compare a second hash of 64 bits. Rows are told apart by id
 and a hash of the text, so ids may repeat or be null.
 """
@@ -135,26 +135,25 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     keyed = _keyed(docs)
     # nine words
     anchors = materialise(_anchors(keyed))
-    often = anchors.groupBy("h").agg(F.count("*").alias("c")).filter("c > 1").select("h")
+    # written first, so that both sides of the join are plain exchanges and Spark can split a hot anchor's rows
+    often = materialise(anchors.groupBy("h").agg(F.count("*").alias("c")).filter("c > 1").select("h"))
     live = materialise(anchors.join(often, "h").groupBy(*KEY).agg(F.collect_set("p").alias("at")))
-    discard(anchors)
+    discard(anchors, often)
     kept = materialise(keyed.join(live, KEY).select(*KEY, "text", "at"))
     discard(live)
     # eighteen words
     units = materialise(_units(kept))
-    state = units.groupBy("h").agg(
-        F.count("*").alias("c"),
-        ((F.min("s1") == F.max("s1")) & (F.min("s2") == F.max("s2"))).alias("even"),
-    )
-    judged = materialise(units.join(state.filter("c > 1").select("h", "even"), "h").select(*KEY, "i", "n", "even"))
-    discard(units)
+    even = (F.min("s1") == F.max("s1")) & (F.min("s2") == F.max("s2"))
+    state = materialise(units.groupBy("h").agg(F.count("*").alias("c"), even.alias("even")).filter("c > 1").select("h", "even"))
+    judged = materialise(units.join(state, "h").select(*KEY, "i", "n", "even"))
+    discard(units, state)
     # thirty-five words
     starts = judged.filter("not even").groupBy(*KEY).agg(F.array_distinct(F.flatten(F.collect_list(F.expr("sequence(i, i + n - 1)")))).alias("at"))
     single = materialise(_single_windows(kept.drop("at").join(starts, KEY)))
-    twice = single.groupBy("h1", "h2").agg(F.count("*").alias("c")).filter("c > 1").drop("c")
+    twice = materialise(single.groupBy("h1", "h2").agg(F.count("*").alias("c")).filter("c > 1").drop("c"))
     some = single.join(twice, ["h1", "h2"]).select(*KEY, "i", F.lit(1).alias("n"))
     found = materialise(judged.filter("even").select(*KEY, "i", "n").union(some))
-    discard(kept, judged, single)
+    discard(kept, judged, single, twice)
     return found
 
 
