@@ -163,7 +163,8 @@ def _confirmed(pairs: DataFrame, reps: DataFrame, sets: DataFrame) -> DataFrame:
 def near_dedup(docs: DataFrame) -> DataFrame:
     """Per row of docs(doc_id, text): doc_id, n_shingles, component_id, kept (doc_id = component_id)."""
     sigs = materialise(signatures(docs))
-    classes = sigs.filter("sig1 is not null").groupBy("sig1", "sig2").agg(F.min("doc_id").alias("rep"))
+    # written first, so that Spark can split the rows of a large class in the joins with it
+    classes = materialise(sigs.filter("sig1 is not null").groupBy("sig1", "sig2").agg(F.min("doc_id").alias("rep")))
     member = sigs.select("doc_id", "sig1", "sig2").join(classes, ["sig1", "sig2"]).select("doc_id", "rep")
     reps = materialise(
         sigs.filter("sig1 is not null")
