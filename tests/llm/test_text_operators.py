@@ -210,13 +210,41 @@ def test_quality_counts(spark):
         assert not (r["base_failed"] and r["kept"])
 
 
-def test_kneser_ney_is_a_distribution():
-    r = np.random.default_rng(0)
-    codes, n = np.unique(r.integers(0, 6, 4000) * 64**3 + r.integers(0, 6, 4000) * 64**2 + r.integers(0, 6, 4000) * 64 + r.integers(0, 6, 4000), return_counts=True)
-    model = quality_rules.kneser_ney(codes, n)
-    for context in (0, 64**2 + 64 + 1, 5 * 64**2 + 3, 63):
-        total = np.exp(quality_rules.gram_logs(model, context * 64 + np.arange(64)).astype(float)).sum()
-        assert total == pytest.approx(1, abs=1e-4)
+def test_kneser_ney_against_plain_python(spark):
+    """Probabilities of a small corpus by the textbook's recursion; they sum up to 1 over the characters after any context."""
+    from collections import Counter
+
+    r = random.Random(2)
+    texts = ["".join(r.choice("abcdé ") * r.choice((1, 1, 2)) for _ in range(r.randint(0, 60))) for _ in range(40)]
+    counts = {5: Counter(("\0" * 4 + t)[i : i + 5] for t in texts for i in range(len(t)))}
+    for k in (4, 3, 2, 1):
+        counts[k] = Counter(g[1:] for g in counts[k + 1])
+    give = {k: quality_rules.discounts([sum(n == j for n in c.values()) for j in (1, 2, 3, 4)]) for k, c in counts.items()}
+    symbols = sorted(counts[1])
+
+    def p(gram):
+        k = len(gram)
+        if not k:
+            return 1 / (len(symbols) + 1)
+        after = {g: n for g, n in counts[k].items() if g[:-1] == gram[:-1]}
+        if not after:
+            return p(gram[1:])
+        d = lambda n: give[k][min(n, 3) - 1]
+        total, n = sum(after.values()), after.get(gram, 0)
+        return ((n - d(n)) if n else 0) / total + sum(map(d, after.values())) / total * p(gram[1:])
+
+    stored = quality_rules.store_models(spark.createDataFrame([(t, "x") for t in texts], "text string, lang string").repartition(3))
+    model = quality_rules.load_models(stored.stored_at)["x"]
+    some = r.sample(sorted(counts[5]), 60) + ["abcdz", "zzzza", "\0\0\0\0z", "éééab"]
+    hi, lo, _ = quality_rules.grams([g for g in some])
+    hi, lo = hi[4::5], lo[4::5]
+    hi[-2], lo[-2] = 0, ord("z")
+    assert model.gram_logs(hi, lo) == pytest.approx(np.log([p(g) for g in some]), rel=1e-5)
+    for context in ("abcd", "\0\0\0\0", "zzab", "  éa"):
+        code = [ord(c) for c in context]
+        his = np.full(len(symbols) + 1, code[0] << 21 | code[1])
+        los = np.array([code[2] << 42 | code[3] << 21 | ord(c) for c in [*symbols, "q"]])
+        assert np.exp(model.gram_logs(his, los)).sum() == pytest.approx(1, abs=1e-5)
 
 
 def test_perplexity_bands_reject_outliers(spark):
