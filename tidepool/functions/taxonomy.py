@@ -31,28 +31,36 @@ EXCLUDED = [
 ]
 #: Fixed values: (words, category), in order of rank.
 KEYWORDS = [
-    ("jazz blues", 17), ("choir choirs choral chorale chorus", 13),
-    ("symphony orchestra orchestral opera operas classical chamber_music recital recitals", 14), ("folk bluegrass country_music", 15),
-    ("hip.?hop r&b", 16), ("rock indie punk", 18), ("band bands concert concerts music singer singers songwriter songwriters acoustic", 9),
-    ("musical musicals", 21), ("comedy comedies drama improv a_play stage_play plays", 20),
-    ("theater theaters theatre theatres stage performance performances", 10), ("ballet dance dances dancing", 2),
-    ("film films movie movies screening screenings cinema documentary documentaries", 4),
-    ("author authors book books poetry poet poets literary writer writers reading readings", 8),
-    ("lecture lectures workshop workshops class classes talk talks seminar seminars speaker speakers", 7),
-    ("festival festivals fair fairs parade parades celebration celebrations", 3), ("exhibit exhibits exhibition exhibitions", 26),
-    ("gallery galleries art_show art_shows juried", 27), ("museum museums", 28),
-    ("art arts craft crafts paint painting paintings sculpt sculpture sculptures photograph photography photographs pottery drawing drawings watercolor watercolors", 11),
+    (["jazz", "blues"], 17),
+    (["choir", "choirs", "choral", "chorale", "chorus"], 13),
+    (["symphony", "orchestra", "orchestral", "opera", "operas", "classical", "chamber music", "recital", "recitals"], 14),
+    (["folk", "bluegrass", "country music"], 15),
+    (["hip.?hop", "r&b"], 16),
+    (["rock", "indie", "punk"], 18),
+    (["band", "bands", "concert", "concerts", "music", "singer", "singers", "songwriter", "songwriters", "acoustic"], 9),
+    (["musical", "musicals"], 21),
+    (["comedy", "comedies", "drama", "improv", "a play", "stage play", "plays"], 20),
+    (["theater", "theaters", "theatre", "theatres", "stage", "performance", "performances"], 10),
+    (["ballet", "dance", "dances", "dancing"], 2),
+    (["film", "films", "movie", "movies", "screening", "screenings", "cinema", "documentary", "documentaries"], 4),
+    (["author", "authors", "book", "books", "poetry", "poet", "poets", "literary", "writer", "writers", "reading", "readings"], 8),
+    (["lecture", "lectures", "workshop", "workshops", "class", "classes", "talk", "talks", "seminar", "seminars", "speaker", "speakers"], 7),
+    (["festival", "festivals", "fair", "fairs", "parade", "parades", "celebration", "celebrations"], 3),
+    (["exhibit", "exhibits", "exhibition", "exhibitions"], 26),
+    (["gallery", "galleries", "art show", "art shows", "juried"], 27),
+    (["museum", "museums"], 28),
+    (["art", "arts", "craft", "crafts", "paint", "painting", "paintings", "sculpt", "sculpture", "sculptures", "photograph", "photography", "photographs", "pottery", "drawing", "drawings", "watercolor", "watercolors"], 11),
 ]
 #: Beginnings of words that hint at the arts.
-ARTS_STEMS = "art music theat danc film concert exhibit gallery galleries author poetry craft festival opera ballet jazz choir museum literar cultur perform".split()
+ARTS_STEMS = ["art", "music", "theat", "danc", "film", "concert", "exhibit", "gallery", "galleries", "author", "poetry", "craft", "festival", "opera", "ballet", "jazz", "choir", "museum", "literar", "cultur", "perform"]
 
 
 def parent_of(category: int) -> int | None:
     return next((p for p, (lo, hi) in CHILDREN.items() if lo <= category <= hi), None)
 
 
-def keyword_pattern(words: str, category: int) -> str:
-    pattern = rf"(?iU)\b(?:{'|'.join(w.replace('_', ' ') for w in words.split())})\b"
+def keyword_pattern(words: list[str], category: int) -> str:
+    pattern = rf"(?iU)\b(?:{'|'.join(words)})\b"
     # "pop" alone, but not the one of pop-up
     return pattern + r"|(?iU)\bpop\b(?!\s*[-–]?\s*up)" if category == 18 else pattern
 
@@ -61,11 +69,20 @@ EXCLUDED_PATTERN = rf"(?iU)\b(?:{'|'.join(EXCLUDED)})\b"
 ARTS_PATTERN = rf"(?iU)\b(?:{'|'.join(ARTS_STEMS)})"
 
 
+def once(value: Column, then) -> Column:
+    """then(value), with the value computed once however often `then` names it."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
 def sanitize(ids: Column, cap: int = 3) -> Column:
     """Known ids as int, each once, without the parents of others, at most cap; from an array of strings or numbers."""
+
+    def without_parents(known: Column) -> Column:
+        parents = F.array(*(F.when(F.exists(known, lambda x: x.between(lo, hi)), F.lit(p)) for p, (lo, hi) in CHILDREN.items()))
+        return F.slice(F.array_except(known, F.array_compact(parents)), 1, cap)
+
     known = F.array_distinct(F.filter(F.transform(ids, lambda x: x.try_cast("int")), lambda x: x.between(1, len(CATEGORIES))))
-    parents = F.array(*(F.when(F.exists(known, lambda x: x.between(lo, hi)), F.lit(p)) for p, (lo, hi) in CHILDREN.items()))
-    return F.slice(F.array_except(known, F.array_compact(parents)), 1, cap)
+    return once(known, without_parents)
 
 
 def with_free(ids: Column, is_free: Column) -> Column:
@@ -80,19 +97,23 @@ def keyword_categories(text: Column) -> Column:
 
 def classify(title: Column, body: Column) -> Column:
     """struct(relevant, reason, category_ids, title_category_ids) by rules; body is all text of the event."""
-    title, body = F.coalesce(title, F.lit("")), F.coalesce(body, F.lit(""))
     none = F.expr("cast(array() as array<int>)")
-    excluded = title.rlike(EXCLUDED_PATTERN)
-    of_title, of_body = keyword_categories(title), keyword_categories(body)
-    chosen = F.when(F.size(of_title) > 0, of_title).otherwise(of_body)
-    relevant = ~excluded & ((F.size(chosen) > 0) | body.rlike(ARTS_PATTERN))
-    reason = F.when(excluded, "excluded keyword in title").when(relevant, "keyword match").otherwise("no arts keyword")
-    return F.struct(
-        relevant.alias("relevant"),
-        reason.alias("reason"),
-        F.when(excluded, none).otherwise(chosen).alias("category_ids"),
-        F.when(excluded, none).otherwise(of_title).alias("title_category_ids"),
-    )
+
+    def chosen(t: Column) -> Column:  # t: title, body
+        found = F.struct(t["title"].rlike(EXCLUDED_PATTERN).alias("excluded"), keyword_categories(t["title"]).alias("of_title"), t["body"].alias("body"))
+        return once(found, lambda f: F.struct(f["excluded"].alias("excluded"), f["of_title"].alias("of_title"), F.when(F.size(f["of_title"]) > 0, f["of_title"]).otherwise(keyword_categories(f["body"])).alias("ids"), f["body"].alias("body")))
+
+    def judged(c: Column) -> Column:
+        relevant = ~c["excluded"] & ((F.size(c["ids"]) > 0) | c["body"].rlike(ARTS_PATTERN))
+        return once(relevant, lambda r: F.struct(
+            r.alias("relevant"),
+            F.when(c["excluded"], "excluded keyword in title").when(r, "keyword match").otherwise("no arts keyword").alias("reason"),
+            F.when(c["excluded"], none).otherwise(c["ids"]).alias("category_ids"),
+            F.when(c["excluded"], none).otherwise(c["of_title"]).alias("title_category_ids"),
+        ))
+
+    texts = F.struct(F.coalesce(title, F.lit("")).alias("title"), F.coalesce(body, F.lit("")).alias("body"))
+    return once(once(texts, chosen), judged)
 
 
 def names_of(ids: Column) -> Column:

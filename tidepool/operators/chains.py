@@ -16,7 +16,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def groups(links: DataFrame, most_rounds: int = 30) -> DataFrame:
+def groups(links: DataFrame) -> DataFrame:
     """(node, component) of links(a, b): the smallest node reachable, by rounds of taking the neighbours' smallest.
 
     A round also jumps to the label's own label, so rounds grow with the logarithm of the longest chain.
@@ -24,7 +24,7 @@ def groups(links: DataFrame, most_rounds: int = 30) -> DataFrame:
     both = cut_lineage(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     label = both.select(F.col("a").alias("node")).distinct().withColumn("component", F.col("node"))
     before = None
-    for _ in range(most_rounds):
+    while True:
         near = both.join(label.select(F.col("node").alias("b"), "component"), "b").groupBy("a").agg(F.min("component").alias("near"))
         stepped = label.join(near, label["node"] == near["a"]).select("node", F.least("component", "near").alias("component"))
         jump = stepped.select(F.col("node").alias("component"), F.col("component").alias("further"))
@@ -32,6 +32,5 @@ def groups(links: DataFrame, most_rounds: int = 30) -> DataFrame:
         label = cut_lineage(label)
         total = label.agg(F.sum("component").alias("s")).first()["s"]
         if total == before:
-            break
+            return label
         before = total
-    return label

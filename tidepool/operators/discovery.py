@@ -75,16 +75,28 @@ def distinct_results(results: DataFrame) -> DataFrame:
 def char_batches(df: DataFrame, keys: list[str], order: list[str], text: str, most: int = 24_000) -> DataFrame:
     """df with batch per key: a new one where the next text would bring the running one over `most` characters.
 
-    The fold over a group is one aggregate of lengths in order, so only numbers are gathered.
+    Rows come to a task sorted by key and order and are folded as they stream by, so a key of any size takes linear
+    time and holds no more than an Arrow batch.
     """
-    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    sizes = F.collect_list(F.length(F.coalesce(text, F.lit("")))).over(w)
-    fold = F.aggregate(
-        sizes,
-        F.struct(F.lit(0).alias("batch"), F.lit(0).alias("used")),
-        lambda s, n: F.when((s["used"] > 0) & (s["used"] + n > most), F.struct((s["batch"] + 1).alias("batch"), n.alias("used"))).otherwise(F.struct(s["batch"].alias("batch"), (s["used"] + n).alias("used"))),
-    )
-    return df.withColumn("batch", fold["batch"])
+    rows = df.withColumn("_n", F.length(F.coalesce(text, F.lit("")))).repartition(*keys).sortWithinPartitions(*keys, *order)
+
+    def run(batches):
+        import pyarrow as pa
+
+        before, batch, used = None, 0, 0
+        for part in batches:
+            out = []
+            for *key, n in zip(*(part.column(part.schema.get_field_index(c)).to_pylist() for c in [*keys, "_n"])):
+                if key != before:
+                    before, batch, used = key, 0, 0
+                if used and used + n > most:
+                    batch, used = batch + 1, 0
+                used += n
+                out.append(batch)
+            yield part.drop_columns(["_n"]).append_column("batch", pa.array(out, pa.int32()))
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    return rows.mapInArrow(run, f"{schema}, batch int")
 
 
 def rediscover(lost: DataFrame, results: DataFrame, pages: DataFrame, sources: DataFrame, foreign: tuple[str, ...] = ()) -> DataFrame:
