@@ -342,6 +342,24 @@ def test_page_table(spark, sf_dir):
         assert got[r["page_id"]] == "\n".join(b for b in blocks if b)
 
 
+def test_pages_of_other_layouts():
+    """Article headers and footers, figures, text with line breaks, no article at all, fragments, odd quotes, deep nests."""
+    nav, foot = "<nav><ul><li><a href=/a>Home</a></li><li><a href=/b>News</a></li></ul></nav>", "<footer>(c) Site</footer>"
+    story = " ".join(["Long words of a story that goes on for a while and on, with more to say about it."] * 4)
+    page = lambda inner: f"<html><body>{nav}{inner}{foot}</body></html>"
+    want = {
+        page(f"<article><header><h1>Title here</h1></header><p>{story}</p><footer>By</footer></article>"): f"Title here\n{story}",
+        page(f"<article><h1>T</h1><figure><img><figcaption>Below it</figcaption></figure><p>{story}</p></article>"): f"T\nBelow it\n{story}",
+        page(f"<div class=content><h1>T</h1>{story}<br>{story}</div>"): f"T\n{story} {story}",
+        page(f"<div><h1>T</h1><p>{story}</p></div>"): f"T\n{story}",
+        page(f"<article><h1>T</h1><p title=it's>{story}</p></article>"): f"T\n{story}",
+        f"<p>{story}</p><p>{story}</p>": f"{story}\n{story}",
+        "plain text without tags": "plain text without tags",
+        "<div>" * 5000 + story: story,
+    }
+    assert html_extract.extract_texts(list(want), html_extract.trained_model()) == list(want.values())
+
+
 def test_page_model_generalises():
     model = html_extract.trained_model()
     x, parents, kinds, states = html_extract._forest(html_extract._labelled(html_extract.labelled_pages(60, seed=99)))

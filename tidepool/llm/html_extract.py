@@ -11,7 +11,10 @@ Text is put into blocks: block elements end a block, line-level elements and <br
 one space, blocks are joined by \\n. Elements without text of the page's own (script, style, title, form
 controls and the like) have no text. Tags may be unclosed or stray, and pages may end anywhere.
 
-Null and empty pages give "". Rows are independent; columns other than page_id, url and html are not read.
+Null and empty pages give ""; a page with a text outside of menus, asides, footers and forms never does: where no
+element is content, those most likely to be count. Pages of any length are parsed whole, in time that grows with their
+length. An empty table has no rows; ties, repeated rows and null ids need no care. White space is what str.split() takes
+for it, no-break spaces too; elements with the attribute hidden have no text. Rows are independent; columns other than page_id, url and html are not read.
 """
 
 from __future__ import annotations
@@ -19,6 +22,7 @@ from __future__ import annotations
 import html as entities
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +52,7 @@ CLOSES = {
 }
 ENDS_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
@@ -58,10 +62,11 @@ class Tree:
 
     def __init__(self, page: str):
         self.tags, self.parents, self.names, self.attributes, self.texts = ["#root"], [-1], [frozenset()], [{}], []
-        stack = [0]
+        stack, n_open = [0], Counter()
 
         def end(at: int):
             for node in stack[at:]:
+                n_open[self.tags[node]] -= 1
                 if self.tags[node] not in INLINE:
                     self.texts.append((node, None))
             del stack[at:]
@@ -82,23 +87,22 @@ class Tree:
                 continue
             tag = m[2].lower()
             if m[1]:
-                for i in range(len(stack) - 1, 0, -1):
+                for i in () if not n_open[tag] else range(len(stack) - 1, 0, -1):
                     if self.tags[stack[i]] == tag:
                         end(i)
                         break
                     if tag in INLINE and self.tags[stack[i]] not in INLINE:
                         break  # a stray end tag of a line-level element ends no block
                 continue
-            open_tags = [self.tags[n] for n in stack]
             if tag in CLOSES:
                 close, stop = CLOSES[tag]
-                for i in range(len(stack) - 1, 0, -1):
-                    if open_tags[i] in stop:
+                for i in range(len(stack) - 1, 0, -1) if any(n_open[c] for c in close) else ():
+                    if self.tags[stack[i]] in stop:
                         break
-                    if open_tags[i] in close:
+                    if self.tags[stack[i]] in close:
                         end(i)
                         break
-            if tag in ENDS_P:
+            if tag in ENDS_P and n_open["p"]:
                 for i in range(len(stack) - 1, 0, -1):
                     if self.tags[stack[i]] == "p":
                         end(i)
@@ -118,12 +122,26 @@ class Tree:
             if tag in VOID or m[3].endswith("/") and tag not in RAW:
                 continue
             stack.append(node)
+            n_open[tag] += 1
             if tag in RAW:
                 close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
                 at = close.end() if close else len(page)
                 end(len(stack) - 1)
 
 
+    def path(self, node: int) -> list[str]:
+        """Tags from an element up to the root."""
+        out = []
+        while node > 0:
+            out.append(self.tags[node])
+            node = self.parents[node]
+        return out
+
+
+#: Elements that are never an article.
+APART = frozenset({"nav", "aside", "footer", "form", "button", "script", "style", "head"})
+
+
 # ---- features
 
 #: Words in class, id and role that speak for or against an element.
@@ -143,7 +161,7 @@ GROUPS = [*AGAINST, "for"]
 _TAG_AT = {t: i for i, t in enumerate(TAGS)}
 _WORD_AT = {w: i for i, g in enumerate(GROUPS) for w in AGAINST.get(g, FOR)}
 N_TAGS, N_GROUPS = len(TAGS) + 1, len(GROUPS)
-N_FEATURES = N_TAGS + N_GROUPS + 8
+N_FEATURES = N_TAGS + N_GROUPS + 15
 
 
 def describe(tree: Tree) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -152,13 +170,14 @@ def describe(tree: Tree) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     parents = np.array(tree.parents)
     x = np.zeros((n, N_FEATURES), np.float32)
     own, linked = np.zeros(n), np.zeros(n)
-    in_link = np.zeros(n, bool)
+    in_link, inside = np.zeros(n, bool), np.zeros(n, bool)
     depth = np.zeros(n, int)
     for i in range(n):
         p = tree.parents[i]
         if p >= 0:
             depth[i] = depth[p] + 1
             in_link[i] = in_link[p] or tree.tags[i] == "a"
+            inside[i] = inside[p] or tree.tags[p] in ("article", "main")
         x[i, _TAG_AT.get(tree.tags[i], N_TAGS - 1)] = 1
         for word in tree.names[i]:
             if (g := _WORD_AT.get(word)) is not None:
@@ -182,6 +201,14 @@ def describe(tree: Tree) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     x[:, f + 5] = own > 80
     x[:, f + 6] = depth <= 2
     x[:, f + 7] = total == 0
+    plain = total - links
+    x[:, f + 8] = plain / max(plain[0], 1)  # share of the page's text that is not links
+    x[:, f + 9] = plain > 0.5 * max(plain[0], 1)
+    x[:, f + 11] = inside
+    for j, tag in enumerate(("header", "footer", "article")):  # those of an article, not of the page
+        x[:, f + 12 + j] = np.array([t == tag for t in tree.tags]) & (inside | (tag == "article"))
+    x[:, f + 14] *= density < 0.5
+    x[:, f + 10] = (density < 0.2) & (total > 200)
     kinds = np.array([0 if t in INLINE else 2 if t in SECTIONS else 1 for t in tree.tags])
     return x, parents, kinds
 
@@ -205,7 +232,8 @@ class TreeModel:
         child = np.flatnonzero(parents >= 0)
         for i in child:
             depth[i] = depth[parents[i]] + 1
-        levels = [np.flatnonzero(depth == d) for d in range(depth.max() + 1)]
+        order = np.argsort(depth, kind="stable")
+        levels = np.split(order, np.searchsorted(depth[order], np.arange(1, depth.max() + 1)))
         up, message = local.copy(), np.zeros((n, 2))
         for level in levels[:0:-1]:  # from the leaves: what a subtree says about its parent's state
             message[level] = np.logaddexp(self.pair[kinds[level], :, 0] + up[level, None, 0], self.pair[kinds[level], :, 1] + up[level, None, 1])
@@ -220,7 +248,7 @@ class TreeModel:
         joint = np.exp(joint - joint.max(axis=(1, 2), keepdims=True))
         return p, child, joint / joint.sum(axis=(1, 2), keepdims=True)
 
-    def train(self, pages, rounds: int = 150, rate: float = 0.5, l2: float = 1e-3) -> TreeModel:
+    def train(self, pages, rounds: int = 200, rate: float = 0.5, l2: float = 1e-3) -> TreeModel:
         """Gradient ascent of the labelled trees' likelihood; pages: (features, parents, kinds, states)."""
         x, parents, kinds, states = _forest(pages)
         one_hot = np.eye(2)[states]
@@ -258,7 +286,7 @@ def _prose(r: random.Random, low: int, high: int) -> str:
     return " ".join(words).capitalize() + r.choice((".", ".", "!", "?"))
 
 
-def labelled_pages(n: int = 160, seed: int = 11) -> list[str]:
+def labelled_pages(n: int = 300, seed: int = 11) -> list[str]:
     """Pages of many layouts; elements of the article bear the attribute data-content, which features never see."""
     r = random.Random(seed)
     pages = []
@@ -303,8 +331,17 @@ def labelled_pages(n: int = 160, seed: int = 11) -> list[str]:
         some = lambda k: "".join(r.choice(noise)() for _ in range(r.randint(0, k)))
         title = f"<h1{y}>{_prose(r, 2, 14)[:-1]}</h1>"
         body = "".join(block() + (r.choice(noise)() if r.random() < 0.06 else "") for _ in range(r.choice((1, 3, 6, 10, 25))))
+        lead, by = f"<header{y}>{title}{r.choice(('', f'<p{y}>' + _prose(r, 3, 20) + '</p>'))}</header>", r.choice(("", f"<footer>{_prose(r, 1, 4)}</footer>"))
+        figure = f"<figure{y}><img src=x><figcaption{y}>{_prose(r, 3, 15)}</figcaption></figure>"
+        broken = "<br>".join(_prose(r, 5, 60) + r.choice(("", "<br>")) for _ in range(r.choice((1, 2, 5, 12))))
         article = r.choice(
             (
+                f"<article{y}>{lead}{body}{by}</article>",
+                f"<article{y}>{title}{figure}{body}</article>",
+                f"<div{y}{r.choice(('', ' class=content', ' class=text', ' class=artikel', ' id=texte'))}>{title}{broken}</div>",
+                f"<div{y}{r.choice(('', ' class=x1', ' class=contenu', ' class=inhalt'))}>{title}{body}</div>",
+                f"{title}{body}",
+                f"<table{y}><tr{y}><td{y}>{title}{broken}</td></tr></table>",
                 f"<article{y}>{title}{body}</article>",
                 f"<main{y}><article{y}>{title}{body}</article></main>",
                 f"<main{y}>{title}{body}</main>",
@@ -319,6 +356,10 @@ def labelled_pages(n: int = 160, seed: int = 11) -> list[str]:
             article = article[:cut] + inside + article[cut:]
         top = r.choice((f"<nav><ul>{links(5)}</ul></nav>", f"<header><h2>{_prose(r, 1, 4)}</h2><p>{_prose(r, 2, 10)}</p><nav>{links(4)}</nav></header>", f"<div class='{r.choice(('menu', 'navbar', 'header', 'top-menu'))}'><ul>{links(4)}</ul></div>", f"<header>{_prose(r, 2, 9)}</header>"))
         foot = r.choice((f"<footer>&copy; {_prose(r, 1, 20)}</footer>", f"<div {r.choice(('class', 'id'))}=footer><p>{_prose(r, 2, 25)}</p><ul>{links(3)}</ul></div>", f"<footer><p>{_prose(r, 2, 30)}</p></footer>", ""))
+        bare = r.random()
+        if bare < 0.08:  # a page that is its text
+            pages.append(r.choice((f"{title}{body}", f"<html{y}><body{y}>{broken}</body></html>", article, f"<body{y}>{body}</body>")))
+            continue
         wrap = r.choice(("{}", "{}", "<div class=wrapper>{}</div>", "<div id=page><div>{}</div></div>"))
         after = comments() if r.random() < 0.4 else ""
         pages.append(f"<!DOCTYPE html><html><head><title>{_prose(r, 2, 9)}</title><style>p{{}}</style></head><body>" + wrap.format(top + some(2) + article + after + some(2) + foot) + r.choice(("</body></html>", "")))
@@ -370,7 +411,19 @@ def extract_texts(pages: list[str], model: TreeModel) -> list[str]:
     x, parents, kinds = _forest(described)
     p, _, _ = model.marginals(x, parents, kinds)
     ends = np.cumsum([len(t.tags) for t in trees])
-    return [collect(t, p[e - len(t.tags) : e] >= 0.5) for t, e in zip(trees, ends)]
+    return [_text_of(t, p[e - len(t.tags) : e]) for t, e in zip(trees, ends)]
+
+
+def _text_of(tree: Tree, p: np.ndarray) -> str:
+    """The text of content elements; if there is none, of the elements most likely to be content that have any."""
+    text = collect(tree, p >= 0.5)
+    if text:
+        return text
+    with_text = sorted({node for node, raw in tree.texts if raw is not None and raw.strip() and not set(tree.path(node)) & APART}, key=lambda node: -p[node])
+    for node in with_text:
+        if text := collect(tree, p >= p[node]):
+            return text
+    return ""
 
 
 def extract_pages(pages: DataFrame, *, model: TreeModel | None = None) -> DataFrame:
