@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
@@ -60,9 +60,13 @@ def entries(listings: DataFrame, names: DataFrame) -> DataFrame:
     )
 
 
-def in_calendar_order(df: DataFrame, late: bool = False) -> DataFrame:
+def calendar_order(late: bool = False) -> list[Column]:
     """By day and time; entries without a time first, or last if `late`."""
-    return df.orderBy("day", F.asc_nulls_last("minute") if late else F.asc_nulls_first("minute"), "listing_id")
+    return [F.col("day"), F.asc_nulls_last("minute") if late else F.asc_nulls_first("minute"), F.col("listing_id")]
+
+
+def in_calendar_order(df: DataFrame, late: bool = False) -> DataFrame:
+    return df.orderBy(*calendar_order(late))
 
 
 def search(df: DataFrame, words: str, columns: list[str]) -> DataFrame:

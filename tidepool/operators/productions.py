@@ -35,9 +35,15 @@ def header_rows(df: DataFrame, keys: list[str], order: list[str], full_only: lis
 
 
 def representatives(df: DataFrame, keys: list[str], preferred: Column, text: str, tie: list[str]) -> DataFrame:
-    """df with is_representative: preferred rows first, then the longest text, then `tie`."""
-    w = Window.partitionBy(*keys).orderBy(preferred.desc(), F.length(F.coalesce(text, F.lit(""))).desc(), *tie)
-    return df.withColumn("is_representative", F.row_number().over(w) == 1)
+    """df with is_representative: preferred rows first, then the longest text, then `tie`, which tells a group's rows apart.
+
+    The best place of a group is a partial minimum, so a hot group is never sorted in one task.
+    """
+    place = F.struct(F.when(preferred, 0).otherwise(1).alias("a"), (-F.length(F.coalesce(text, F.lit("")))).alias("b"), *tie)
+    rows = df.withColumn("_place", place)
+    best = rows.groupBy(*(F.col(k).alias(f"_{k}") for k in keys)).agg(F.min("_place").alias("_best"))
+    same = [rows[k].eqNullSafe(best[f"_{k}"]) for k in keys]
+    return rows.join(best, same).select(*(rows[c] for c in df.columns), (F.col("_place") == F.col("_best")).alias("is_representative"))
 
 
 def inherit_full_rows(df: DataFrame, keys: list[str], order: list[str], is_full: Column, is_valid: Column, columns: list[str]) -> DataFrame:

@@ -12,6 +12,7 @@ from ..operators import calendar as Cal
 from ..operators import discovery, ingest, matching, merge, policy, productions
 from ..sources import registry
 from ..streaming import events as streaming
+from . import summary
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -178,9 +179,7 @@ def exact_dedup_keep_first(spark, sf_dir):
 @query("SELECT lang, source, doc_id FROM (SELECT *, row_number() OVER (PARTITION BY lang, source ORDER BY (n_chars > 1000)::INT DESC, length(coalesce(text, '')) DESC, doc_id) AS r FROM documents) WHERE r = 1")
 def representative_pick(spark, sf_dir):
     docs = t(spark, sf_dir, "documents")
-    # one text per group: partial maximum by a struct, no window over a hot group
-    best = docs.groupBy("lang", "source").agg(F.max_by("doc_id", F.struct((F.col("n_chars") > 1000).cast("int").alias("a"), F.length(F.coalesce("text", F.lit(""))).alias("b"), (-F.col("doc_id")).alias("c"))).alias("doc_id"))
-    return best
+    return productions.representatives(docs, ["lang", "source"], F.col("n_chars") > 1000, "text", ["doc_id"]).filter("is_representative").select("lang", "source", "doc_id")
 
 
 @query(
@@ -278,8 +277,9 @@ def null_order(spark, sf_dir):
     from pyspark.sql import Window
 
     w = Window.partitionBy("c")
-    rank = lambda o: F.row_number().over(w.orderBy(o, "k")).cast("long")
-    return _order_runs(spark, sf_dir).select("k", rank(F.asc_nulls_first("e")).alias("r_first"), rank(F.asc_nulls_last("e")).alias("r_last"))
+    runs = _order_runs(spark, sf_dir).select("k", "c", F.lit(0).alias("day"), F.datediff("e", F.lit("1990-01-01").cast("date")).alias("minute"), F.col("k").alias("listing_id"))
+    rank = lambda late: F.row_number().over(w.orderBy(*Cal.calendar_order(late))).cast("long")
+    return runs.select("k", rank(False).alias("r_first"), rank(True).alias("r_last"))
 
 
 @query("SELECT o_orderstatus AS status, count(*)::BIGINT AS n, count(*) FILTER (o_totalprice > 100000)::BIGINT AS big, count(DISTINCT o_custkey)::BIGINT AS customers FROM orders GROUP BY 1")
@@ -413,12 +413,10 @@ def upsert_latest(spark, sf_dir):
     return merge.latest_wins(t(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"]).select("user_id", "event_id", "event_type", "value")
 
 
-@query("SELECT event_id, user_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS r FROM events WHERE event_type <> 'signup') WHERE r = 1 AND user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'signup') UNION ALL SELECT event_id, user_id FROM events WHERE event_type = 'signup'")
+@query("SELECT event_id, user_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS r FROM events WHERE event_type <> 'signup') WHERE r = 1 AND user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'signup') UNION ALL SELECT event_id, user_id FROM events WHERE event_type = 'signup'")
 def insert_new(spark, sf_dir):
-    e = t(spark, sf_dir, "events")
-    old = e.filter("event_type = 'signup'").select("event_id", "user_id", "event_type", "ts")
-    new = merge.first_wins(e.filter("event_type <> 'signup'").select("event_id", "user_id", "event_type", "ts"), ["user_id", "event_type"], ["ts", "event_id"])
-    return old.unionByName(new.join(old.select("user_id").distinct(), "user_id", "left_anti")).select("event_id", "user_id")
+    e = t(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
+    return merge.insert_new(e.filter("event_type = 'signup'"), e.filter("event_type <> 'signup'"), ["user_id"], ["ts", "event_id"]).select("event_id", "user_id")
 
 
 @query("SELECT user_id, event_id, (CASE WHEN event_type = 'purchase' THEN event_id ELSE last_value(CASE WHEN event_type = 'purchase' THEN event_id END IGNORE NULLS) OVER w END)::VARCHAR AS parent, event_type <> 'purchase' AND coalesce(last_value(CASE WHEN event_type = 'purchase' THEN value > 50 END IGNORE NULLS) OVER w, false) = false AS is_orphan FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)")
@@ -460,9 +458,10 @@ def json_props(spark, sf_dir):
     return t(spark, sf_dir, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.sum(k.cast("long")).alias("k"), F.count_if(k > 50).alias("high"))
 
 
-@query("SELECT event_type AS status, count(*)::BIGINT AS n, count(*) FILTER (event_type IN ('click', 'view'))::BIGINT AS ok, min(event_id) AS first_id FROM events GROUP BY 1")
+@query("SELECT s AS status, count(*)::BIGINT AS sources, sum(CASE WHEN s IN ('ok', 'empty-kept') THEN user_id ELSE 0 END)::BIGINT AS events FROM (SELECT user_id, CASE event_type WHEN 'view' THEN 'ok' WHEN 'click' THEN 'empty-kept' ELSE event_type END AS s FROM events) GROUP BY 1")
 def run_summary(spark, sf_dir):
-    return t(spark, sf_dir, "events").groupBy(F.col("event_type").alias("status")).agg(F.count("*").alias("n"), F.count_if(F.col("event_type").isin("click", "view")).alias("ok"), F.min("event_id").alias("first_id"))
+    status = F.when(F.col("event_type") == "view", "ok").when(F.col("event_type") == "click", "empty-kept").otherwise(F.col("event_type"))
+    return summary.pull_summary(t(spark, sf_dir, "events").select(F.col("event_id").alias("source_id"), status.alias("status"), F.col("user_id").alias("n")))
 
 
 _ROUTE = "['" + "','".join(discovery.ROUTES) + "']"
@@ -487,8 +486,7 @@ def budgeted_default(spark, sf_dir):
 @query("WITH y AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r FROM events WHERE event_type <> 'error' AND ts >= TIMESTAMP '2024-01-30' - INTERVAL 240 HOUR) SELECT user_id::VARCHAR AS url, event_id FROM y WHERE r = 1")
 def fresh_pages(spark, sf_dir):
     cache = t(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("url"), F.struct("ts", "event_id").alias("fetched"), F.col("ts").alias("fetched_at"), F.when(F.col("event_type") == "error", 500).otherwise(200).alias("status"), "event_id")
-    young = cache.filter((F.col("status") == 200) & (F.col("fetched_at") >= F.lit("2024-01-30").cast("timestamp") - F.make_interval(hours=F.lit(240))))
-    return merge.latest_wins(young, ["url"], ["fetched_at", "event_id"]).select("url", "event_id")
+    return registry.fresh_pages(cache, F.lit("2024-01-30").cast("timestamp"), F.lit(240)).select("url", "event_id")
 
 
 @query(
@@ -642,3 +640,6 @@ def cluster_greedily(spark, sf_dir):
     part = t(spark, sf_dir, "part")
     events = part.select(F.col("p_partkey").alias("event_id"), F.concat(F.lit("show "), F.col("p_size").cast("string")).alias("title"), F.col("p_name").alias("venue"), F.date_add(F.lit("2024-01-01").cast("date"), (F.col("p_partkey") % 3).cast("int")).alias("start_date"))
     return matching.cluster_greedily(events).select("event_id", "cluster_id")
+
+
+from . import feed_queries  # noqa: E402, F401 - registers its own queries
