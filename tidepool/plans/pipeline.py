@@ -50,7 +50,7 @@ def find_repeats(events: DataFrame) -> DataFrame:
     slim = events.select("event_id", "title", F.col("venue_name").alias("venue"), "start_date")
     clusters = M.cluster_greedily(slim).select("event_id", "cluster_id")
     joined = events.join(clusters, "event_id")
-    return representatives(joined, ["cluster_id"], (F.col("relevance") == "in").cast("int"), "description", ["start_date", "event_id"])
+    return representatives(joined, ["cluster_id"], F.col("relevance") == "in", "description", ["start_date", "event_id"])
 
 
 def match_calendar(events: DataFrame, listings: DataFrame, pad_days: int = 1) -> DataFrame:

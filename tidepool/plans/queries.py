@@ -642,4 +642,4 @@ def cluster_greedily(spark, sf_dir):
     return matching.cluster_greedily(events).select("event_id", "cluster_id")
 
 
-from . import feed_queries  # noqa: E402, F401 - registers its own queries
+from . import feed_queries, product_queries  # noqa: E402, F401 - they register their own queries
