@@ -298,3 +298,17 @@ def test_rejected_and_counts(spark):
     assert counts[("verdict", "(pending)")] == 1 and counts[("channel", "ics")] == n and counts[("total", "events")] == 2
     pulls = spark.createDataFrame([(1, "ok", 5), (2, "empty-kept", 2), (3, "error", 9)], "source_id long, status string, n long")
     assert summary.pull_summary(pulls).agg(F.sum("events")).first()[0] == 7
+
+
+def test_representatives_of_clusters(spark):
+    """In scope first, then the longest text, then day (null first) and id; null scopes and texts come last; every cluster has one."""
+    from tidepool.plans.pipeline import find_repeats
+
+    rows = [
+        (1, "Hamlet", "Opera House", "2026-09-05", "out", "a long text about it"), (2, "Hamlet", "Opera House", "2026-09-05", "in", "short"), (3, "Hamlet", "Opera House", "2026-09-05", "in", "longer"),
+        (4, "Hamlet", "Opera House", "2026-09-05", "in", "longer"), (5, "Hamlet", None, "2026-09-05", None, None), (6, "Faust", "Barn", None, None, None), (7, "Faust", "Barn", None, None, None),
+    ]
+    events = spark.createDataFrame(rows, "event_id long, title string, venue_name string, day string, relevance string, description string").selectExpr("*", "cast(day as date) start_date").drop("day")
+    got = find_repeats(events).collect()
+    assert len(got) == len(rows)
+    assert {r["event_id"] for r in got if r["is_representative"]} == {3, 5, 6}
