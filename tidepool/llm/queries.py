@@ -1,10 +1,24 @@
-"""The queries op1_ .. op10_ over whole tables, and the SQL that some of them equal."""
+"""The queries op1_ .. op13_ over whole tables, and the SQL that some of them equal."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, html_extract, language_id, near_dedup, packing, quality_rules, secret_scan, spot_signatures, substring_dedup, token_counts
+from . import (
+    bpe_codec,
+    hard_negatives,
+    html_extract,
+    language_id,
+    near_dedup,
+    packing,
+    quality_rules,
+    secret_scan,
+    spot_signatures,
+    substring_dedup,
+    token_alignment,
+    token_counts,
+    toxicity,
+)
 from ._common import table
 
 
@@ -48,6 +62,18 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_dedup(table(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align_tokens(table(spark, sf_dir, "documents"), digests=True)
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine_embeddings(table(spark, sf_dir, "embeddings"))
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -61,6 +87,13 @@ QUERIES = {
         op8_language_id,
         op9_fingerprints,
         op10_near_dedup,
+        op11_token_alignment,
+        op12_hard_negatives,
+        op13_toxicity,
     )
 }
-ORACLE_SQL = {"op4_substring_dedup": substring_dedup.ORACLE_SQL, "op10_near_dedup": near_dedup.ORACLE_SQL}
+ORACLE_SQL = {
+    "op4_substring_dedup": substring_dedup.ORACLE_SQL,
+    "op10_near_dedup": near_dedup.ORACLE_SQL,
+    "op12_hard_negatives": hard_negatives.ORACLE_SQL,
+}
