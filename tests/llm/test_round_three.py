@@ -71,7 +71,6 @@ NUMBERS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
 def test_alignment(spark, monkeypatch):
     monkeypatch.setattr(token_alignment, "CHUNK_BYTES", 2_000)  # workers of this session may have theirs
     rows = [r for r in awkward_rows() if r[1] is None or len(r[1]) < 20_000] + [(2000 + i, t, None, None, None) for i, t in enumerate(more_texts())] + [(None, "no id here", None, None, None)]
-    rows = [r for r in rows]
     docs = frame(spark, rows)
     got = token_alignment.align_tokens(with_clashing_columns(docs))
     assert Counter(tuple(r) for r in got.select("doc_id", *NUMBERS, "groups").collect()) == plain_alignment(rows)
@@ -80,6 +79,13 @@ def test_alignment(spark, monkeypatch):
     assert Counter(map(tuple, digests)) == want
 
 
+def test_alignment_with_pairs_joined_by_a_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(token_alignment, "PAIRS_HELD", 3)
+    rows = [(i, t, None, None, None) for i, t in enumerate(more_texts())]
+    got = token_alignment.align_tokens(frame(spark, rows))
+    assert Counter(tuple(r) for r in got.select("doc_id", *NUMBERS, "groups").collect()) == plain_alignment(rows)
+
+
 def test_alignment_of_nothing(spark):
     assert token_alignment.align_tokens(frame(spark, []), digests=True).count() == 0
     only_null = token_alignment.align_tokens(frame(spark, [(1, None, None, None, None)]), digests=True).collect()
@@ -152,7 +158,7 @@ def test_hard_negatives(spark, monkeypatch):
 
 
 def test_hard_negatives_of_huge_vectors_and_repeated_rows(spark):
-    rows = vector_rows(5, 40, scale=1e9)
+    rows = vector_rows(5, 40, scale=1e6)
     assert Counter(map(tuple, H.mine_embeddings(spark.createDataFrame(rows, VECTORS)).collect())) == plain_negatives(rows)
     rows = vector_rows(6, 60)
     rows += [rows[4], rows[2], rows[9]]

@@ -17,7 +17,7 @@ can't reach what is already found, or can't meet a wanted range of scores, are d
 Rows with a null id, label or vector, or a component that is null or not finite, take no part. A shorter vector counts
 as one with zeros behind. "Other rows" are those of another id. Repeated rows are rows of their own: repeated
 candidates take a rank each, a repeated anchor is answered as often. A positive of score 0 takes negatives of score 0,
-one below 0 takes none. Scores beyond 64 bits are shown as the nearest 64-bit number. No rows or no anchors give an
+one below 0 takes none. Scores beyond 64 bits are taken as the nearest 64-bit number. No rows or no anchors give an
 empty result. Only the three named columns are read.
 """
 

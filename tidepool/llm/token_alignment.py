@@ -10,6 +10,7 @@ tokens are its segments' tokens end to end, and each segment border is a border
 2. Segments are made distinct over the corpus, tokenised and aligned once.
 3. How often an id pair is linked is summed over distinct segments times uses; each B id's highest count follows.
 4. Each segment's sums of these counts go back to the chunks that use it, and documents are composed chunk by chunk.
+   A group of m and n tokens, which share no inner border, has m + n - 1 links, so the groups' text tells the rest.
 
 A chunk holds CHUNK_BYTES or one longer document, so no task holds more than that and its segments' alignments; a
 frequent segment occurs once per chunk, whatever its uses, and the join by segments may split it further.
@@ -29,6 +30,7 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,7 +39,9 @@ from ._common import discard, map_batches, materialise, plain_text, text_steps,
 from .token_counts import byte_letters
 
 #: Bytes of text in a chunk; a longer document is a chunk of its own.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 32 << 20
+#: Linked id pairs whose counts a task may hold as arrays (20 bytes each); beyond it they are joined by a shuffle.
+PAIRS_HELD = 4_000_000
 #: Segments that are tokenised together, in number and characters.
 TOGETHER, TOGETHER_CHARS = 20_000, 1 << 20
 #: White space before which texts may be cut, if the vocabularies allow.
@@ -116,7 +120,7 @@ class Pair:
         return found
 
     def align(self, segments: list[str]) -> dict[str, list | np.ndarray]:
-        """Per segment: numbers of A and B tokens, groups and links; the groups as text; the linked ids."""
+        """Per segment: the groups as text, and the linked ids."""
         a_lists, b_lists = self.a_ids(segments), self.b_ids(segments)
         n_a, n_b = np.fromiter(map(len, a_lists), np.int64, len(segments)), np.fromiter(map(len, b_lists), np.int64, len(segments))
         a = np.fromiter((i for x in a_lists for i in x), np.int64, n_a.sum())
@@ -142,10 +146,6 @@ class Pair:
         texts_a, texts_b = _joined(a, a_cut), _joined(b, b_cut)
         groups = iter([f"{x}|{y}" for x, y in zip(texts_a, texts_b)])
         return {
-            "n_a": n_a,
-            "n_b": n_b,
-            "n_groups": n_groups,
-            "n_links": np.diff(np.r_[0, link_end]),
             "groups": [";".join(islice(groups, n)) for n in n_groups.tolist()],
             "a": pa.ListArray.from_arrays(pa.array(np.r_[0, link_end], pa.int32()), pa.array(linked_a, pa.int32())),
             "b": pa.ListArray.from_arrays(pa.array(np.r_[0, link_end], pa.int32()), pa.array(linked_b, pa.int32())),
@@ -159,6 +159,28 @@ def _joined(ids: np.ndarray, cuts: np.ndarray) -> list[str]:
     return [text[s] if e == s + 1 else ",".join(text[s:e]) for s, e in zip(edges, edges[1:])]
 
 
+def packed(numbers: np.ndarray) -> bytes:
+    """Compressed int32 numbers, all their low bytes first."""
+    return zstandard.compress(numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(raw), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<i4").ravel()
+
+
+def group_sizes(groups: list[str]) -> np.ndarray:
+    """Rows n_a, n_b, n_groups, n_links of the groups of each segment."""
+    text = np.frombuffer(";".join([*groups, ""]).encode(), np.uint8)
+    ends = np.cumsum(np.fromiter(map(len, groups), np.int64, len(groups)) + 1)
+    bar, semicolon, comma = (text == ord(c) for c in "|;,")
+    before_bar = np.cumsum(bar) == np.cumsum(semicolon)
+    upto = lambda hit: np.diff(np.r_[0, np.cumsum(hit)[ends - 1]]) if len(ends) else np.zeros(0, np.int64)
+    n = upto(semicolon)
+    a, b = upto(comma & before_bar) + n, upto(comma & ~before_bar) + n
+    return np.stack([a, b, n, a + b - n])
+
+
 _pairs: dict[tuple[str, str], Pair] = {}
 
 
@@ -203,7 +225,7 @@ def _chunked(docs: DataFrame, id_col: str, text_col: str, a: str, b: str) -> Dat
                 get = number.setdefault
                 at = np.fromiter((get(s, len(number)) for s in found), np.int32, len(found))
                 ids.append(key)
-                lists.append(at.tobytes())
+                lists.append(packed(at))
                 uses.append(at)
                 held += len(text)
         if ids:
@@ -215,7 +237,7 @@ def _chunked(docs: DataFrame, id_col: str, text_col: str, a: str, b: str) -> Dat
 
 
 def _aligned(segments: DataFrame, a: str, b: str) -> DataFrame:
-    """segments(segment, uses) with a number of its own, counts, groups and linked ids."""
+    """segments(segment, uses) with a number of its own, groups and linked ids."""
 
     def run(batches):
         pair = tokenizer_pair(a, b)
@@ -229,16 +251,15 @@ def _aligned(segments: DataFrame, a: str, b: str) -> DataFrame:
                         pa.array(np.arange(key, key + piece.num_rows)),
                         piece.column(0),
                         piece.column(1),
-                        *(pa.array(out[k], pa.int64()) for k in ("n_a", "n_b", "n_groups", "n_links")),
                         pa.array(out["groups"], pa.string()),
                         out["a"],
                         out["b"],
                     ],
-                    ["key", "segment", "uses", "n_a", "n_b", "n_groups", "n_links", "groups", "a", "b"],
+                    ["key", "segment", "uses", "groups", "a", "b"],
                 )
                 key += piece.num_rows
 
-    kinds = "key long, segment string, uses long, n_a long, n_b long, n_groups long, n_links long, groups string, a array<int>, b array<int>"
+    kinds = "key long, segment string, uses long, groups string, a array<int>, b array<int>"
     return map_batches(segments, run, kinds)
 
 
@@ -253,11 +274,32 @@ def _pair_counts(aligned: DataFrame) -> DataFrame:
     return counts.withColumn("best", (F.col("n") == F.max("n").over(Window.partitionBy("b"))).cast("long"))
 
 
+def _summed(aligned: DataFrame, counted: DataFrame) -> DataFrame:
+    """segment, groups, n_best, count_sum: sums over each segment's links."""
+    if counted.count() > PAIRS_HELD:
+        sums = _links(aligned, "key").join(counted, ["a", "b"]).groupBy("key").agg(F.sum("best").alias("n_best"), F.sum("n").alias("count_sum"))
+        return aligned.join(sums, "key").select("segment", "groups", "n_best", "count_sum")
+    table = counted.select((F.col("a").cast("long") * (1 << 32) + F.col("b")).alias("pair"), "n", "best").toArrow().sort_by("pair")
+    held = aligned.sparkSession.sparkContext.broadcast([table.column(k).to_numpy() for k in ("pair", "n", "best")])
+
+    def run(batches):
+        pair, n, best = held.value
+        for batch in batches:
+            sizes = batch.column(2).value_lengths().to_numpy()
+            a, b = (batch.column(k).flatten().to_numpy().astype(np.int64) for k in (2, 3))
+            at = np.searchsorted(pair, a << 32 | b)
+            ends = np.cumsum(sizes)
+            upto = lambda x: np.diff(np.r_[0, np.cumsum(x)[ends - 1]]) if len(ends) else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(upto(best[at])), pa.array(upto(n[at]))], ["segment", "groups", "n_best", "count_sum"])
+
+    return map_batches(aligned.select("segment", "groups", "a", "b"), run, "segment string, groups string, n_best long, count_sum long")
+
+
 def id_pairs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", a: str = "byte_bpe_50k.json", b: str = "piece_bpe_32k.model") -> DataFrame:
     """Per linked pair of ids: a, b, n (how many links of all documents hold it), best (1 or 0)."""
-    stored = materialise(_chunked(docs, id_col, text_col, a, b))
+    stored = materialise(_chunked(docs, id_col, text_col, a, b), "zstd")
     segments = stored.filter("segment is not null").groupBy("segment").agg(F.sum("uses").alias("uses"))
-    return _pair_counts(materialise(_aligned(segments, a, b)))
+    return _pair_counts(materialise(_aligned(segments, a, b), "zstd"))
 
 
 def align_tokens(
@@ -270,12 +312,11 @@ def align_tokens(
     digests: bool = False,
 ) -> DataFrame:
     """One row per row of docs: id, n_a, n_b, n_groups, n_links, n_best, count_sum, and groups (or groups_sha256 if digests)."""
-    stored = materialise(_chunked(docs, id_col, text_col, a, b))
+    stored = materialise(_chunked(docs, id_col, text_col, a, b), "zstd")
     in_chunks = stored.filter("segment is not null")
-    aligned = materialise(_aligned(in_chunks.groupBy("segment").agg(F.sum("uses").alias("uses")), a, b))
+    aligned = materialise(_aligned(in_chunks.groupBy("segment").agg(F.sum("uses").alias("uses")), a, b), "zstd")
     counted = materialise(_pair_counts(aligned))
-    sums = _links(aligned, "key").join(counted, ["a", "b"]).groupBy("key").agg(F.sum("best").alias("n_best"), F.sum("n").alias("count_sum"))
-    values = materialise(aligned.drop("uses", "a", "b").join(sums, "key").drop("key"))
+    values = materialise(_summed(aligned, counted), "zstd")
     discard(aligned, counted)
     used = in_chunks.select(F.col("chunk").alias("in_chunk"), "number", "segment").join(values, "segment").drop("segment")
     documents = stored.filter("at is not null").select("chunk", "id", "at")
@@ -283,13 +324,13 @@ def align_tokens(
 
     def compose(rows: pa.Table, segments: pa.Table) -> pa.Table:
         segments = segments.sort_by("number")
-        table = np.stack([segments.column(k).to_numpy() for k in numbers]) if segments.num_rows else np.zeros((len(numbers), 0), np.int64)
-        group = segments.column("groups").to_pylist().__getitem__
+        groups = segments.column("groups").to_pylist()
+        table = np.vstack([group_sizes(groups), *(segments.column(k).to_numpy().astype(np.int64)[None, :] for k in numbers[4:])])
         sums, texts = [], []
         for raw in rows.column("at").to_pylist():
-            at = np.frombuffer(raw, np.int32)
+            at = unpacked(raw)
             sums.append(table[:, at].sum(axis=1))
-            text = ";".join(map(group, at.tolist()))
+            text = ";".join(map(groups.__getitem__, at.tolist()))
             texts.append(hashlib.sha256(text.encode()).hexdigest() if digests and text else text)
         sums = np.array(sums, np.int64).reshape(-1, len(numbers))
         return pa.table([rows.column("id"), *(pa.array(sums[:, k]) for k in range(len(numbers))), pa.array(texts, pa.string())], names=[id_col, *numbers, last])
