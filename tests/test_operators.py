@@ -41,11 +41,26 @@ def test_scores(a, b):
     for f in (S.ratio, S.token_sort, S.token_set, S.partial):
         assert 0 <= f(a, b) <= 100 and f(a, b) == pytest.approx(f(b, a))
     assert S.ratio(a, a) == 100
-    if all(len(set(t.split())) == len(t.split()) > 0 for t in (a, b)):  # a repeated word counts in the sorted score only
-        assert S.token_set(a, b) >= S.token_sort(a, b) - 1e-9
-
-
-def test_scores_of_a_repeated_word():
+    assert S.token_set(a, b) == pytest.approx(plain_token_set(a, b))
+
+
+def plain_token_set(a, b):
+    """Shared words first, then each side's own, all sorted."""
+    x, y = set(a.split()), set(b.split())
+    if not x or not y:
+        return 0.0
+    text = lambda *sets: " ".join(w for s in sets for w in sorted(s))
+    likeness = lambda p, q: 200 * plain_lcs(p, q) / (len(p) + len(q))
+    both = x & y
+    if both and (x <= y or y <= x):
+        return 100.0
+    found = [likeness(text(both, x - y), text(both, y - x))]
+    return max(found + [likeness(text(both), text(both, own - both)) for own in (x, y)] if both else found)
+
+
+def test_scores_of_words_that_move():
+    """A repeated word counts in the sorted score only, and shared words move to the front of the set's."""
+    assert S.token_set("c dbc", "ac b c") == pytest.approx(600 / 11) and S.token_sort("c dbc", "ac b c") == pytest.approx(800 / 11)
     assert S.token_set("aaaa", "aa aa") == pytest.approx(200 / 3) and S.token_sort("aaaa", "aa aa") == pytest.approx(800 / 9)
 
 
@@ -112,6 +127,34 @@ def test_greedy_clusters(spark):
     assert got == want
 
 
+def test_greedy_clusters_of_one_title_on_one_day(spark):
+    """More heads than a round takes, all of one title and day, with and without a day."""
+    r = random.Random(5)
+    venues = ["".join(r.choice("abcdefghijkl") for _ in range(7)) + " " + "".join(r.choice("mnopqrstuvwx") for _ in range(7)) for _ in range(150)]
+    venues += [v[:-1] for v in venues[::3]] + [f"{v} {v[:2]}" for v in venues[::4]]
+    rows = [(i, "Show", v, None if i % 2 else date(2026, 1, 1)) for i, v in enumerate(r.sample(venues, len(venues)))]
+    got = {x["event_id"]: x["cluster_id"] for x in matching.cluster_greedily(spark.createDataFrame(rows, "event_id long, title string, venue string, start_date date")).collect()}
+    want, heads = {}, {0: [], 1: []}
+    for i, _, v, _ in rows:
+        want[i] = next((h for h, w in heads[i % 2] if S.token_set(v, w) >= 75), i)
+        if want[i] == i:
+            heads[i % 2].append((i, v))
+    assert len(heads[0]) > matching.HEADS_AT_ONCE and got == want
+    assert matching.cluster_greedily(spark.createDataFrame([(1, "a", None, None)], "event_id long, title string, venue string, start_date date")).collect()[0]["cluster_id"] == 1
+
+
+def test_refused_in_order(spark):
+    r = random.Random(9)
+    for links in ([(i + 1, i) for i in range(12)], [tuple(sorted((r.randrange(60), r.randrange(60)), reverse=True)) for _ in range(150)], []):
+        links = [x for x in links if x[0] != x[1]]
+        refused = set()
+        for node in sorted({n for x in links for n in x}):
+            if any(a == node and b not in refused for a, b in links):
+                refused.add(node)
+        got = chains.refused_in_order(spark.createDataFrame(links, "later long, earlier long"))
+        assert sorted(x["node"] for x in got.collect()) == sorted(refused)
+
+
 def test_best_match_ties_and_thresholds(spark):
     pairs = [(1, 9, 90.0, True), (1, 3, 90.0, True), (2, 3, 90.0, False), (3, 3, 96.0, False), (4, 3, 72.0, True), (5, 3, 71.9, True), (6, 3, 0.0, True)]
     events = spark.createDataFrame([(i,) for i in range(1, 8)], "event_id long")
@@ -150,16 +193,21 @@ def test_merge_is_idempotent(spark):
 
 def test_char_batches(spark):
     r = random.Random(4)
-    rows = [(k, i, "x" * r.randint(0, 900)) for k in range(4) for i in range(30)]
-    got = {(x["k"], x["i"]): x["batch"] for x in discovery.char_batches(spark.createDataFrame(rows, "k int, i int, t string"), ["k"], ["i"], "t", 1000).collect()}
-    for k in range(4):
+    rows = [(k, i, "x" * r.randint(0, 900)) for k in (1, 2, None) for i in range(30)]
+    rows += [(5, i, "x" * r.choice((0, 0, 1, 999, 1000, 1001, 5000, 2))) for i in range(150)] + [(6, i, r.choice((None, ""))) for i in range(5)] + [(7, 0, "x" * 3000)]
+    rows += [(8, i, "x" * n) for i, n in enumerate((0, 0, 4000, 0, 0, 500, 500, 1))]
+    got = {(x["k"], x["i"]): x["batch"] for x in discovery.char_batches(spark.createDataFrame(rows, "k int, i int, t string").repartition(3), ["k"], ["i"], "t", 1000).collect()}
+    assert len(got) == len(rows)
+    for k in {x[0] for x in rows}:
         used = batch = 0
         for key, i, text in rows:
             if key == k:
-                if used and used + len(text) > 1000:
+                n = len(text or "")
+                if used and used + n > 1000:
                     used, batch = 0, batch + 1
-                used += len(text)
-                assert got[(k, i)] == batch
+                used += n
+                assert got[(k, i)] == batch, (k, i)
+    assert discovery.char_batches(spark.createDataFrame([], "k int, i int, t string"), ["k"], ["i"], "t").count() == 0
 
 
 def test_discovery(spark):

@@ -1,4 +1,4 @@
-"""Groups of rows that are linked by way of others, for small link tables of uploads."""
+"""Iterations over links between rows: groups that are linked by way of others, and decisions taken in order."""
 
 from __future__ import annotations
 
@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """df written to the folder of spark.checkpoint.dir; only where that is unset, as in tests, to a temporary one."""
+    """df written to the folder of spark.checkpoint.dir; where that is unset in a local session (tests), to a temporary one."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        where = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if where is None and context.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(where or tempfile.mkdtemp(prefix="spark-checkpoint-"))
     return df.checkpoint()
 
 
@@ -23,14 +26,34 @@ def groups(links: DataFrame) -> DataFrame:
     """
     both = cut_lineage(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     label = both.select(F.col("a").alias("node")).distinct().withColumn("component", F.col("node"))
-    before = None
     while True:
         near = both.join(label.select(F.col("node").alias("b"), "component"), "b").groupBy("a").agg(F.min("component").alias("near"))
-        stepped = label.join(near, label["node"] == near["a"]).select("node", F.least("component", "near").alias("component"))
+        stepped = label.join(near, label["node"] == near["a"]).select("node", F.col("component").alias("was"), F.least("component", "near").alias("component"))
         jump = stepped.select(F.col("node").alias("component"), F.col("component").alias("further"))
-        label = stepped.join(jump, "component", "left").select("node", F.least("component", F.coalesce("further", "component")).alias("component"))
+        label = stepped.join(jump, "component", "left").select("node", "was", F.least("component", F.coalesce("further", "component")).alias("component"))
         label = cut_lineage(label)
-        total = label.agg(F.sum("component").alias("s")).first()["s"]
-        if total == before:
-            return label
-        before = total
+        if label.filter("component <> was").isEmpty():
+            return label.drop("was")
+        label = label.drop("was")
+
+
+def refused_in_order(links: DataFrame) -> DataFrame:
+    """The nodes that are refused when rows are taken in order and each that has a link to a row taken before is refused.
+
+    links has (later, earlier). This is the first maximal independent set of an order: a row is settled once all
+    earlier rows it is linked with are. In a round, rows without an open earlier row are taken and rows linked with
+    them are refused; links of settled rows go. Rounds are as many as decisions that wait for each other, about
+    the logarithm of the rows where links don't follow the order.
+    """
+    spark = links.sparkSession
+    links = cut_lineage(links.select("later", "earlier").distinct())
+    kind = links.schema["later"].dataType.simpleString()
+    refused = spark.createDataFrame([], f"node {kind}")
+    while not links.isEmpty():
+        waiting = links.select(F.col("later").alias("earlier")).distinct()
+        taken = links.join(waiting, "earlier", "left_anti")
+        now = cut_lineage(taken.select(F.col("later").alias("node")).distinct())
+        refused = refused.union(now)
+        left = links.join(now.select(F.col("node").alias("later")), "later", "left_anti")
+        links = cut_lineage(left.join(now.select(F.col("node").alias("earlier")), "earlier", "left_anti"))
+    return refused

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.similarity import partial_udf
+from .chains import cut_lineage
 
 #: Hosts that are never an organisation's own; the hosts of a run's own listings are given besides.
 FOREIGN_HOSTS = "facebook. instagram. twitter. x.com linkedin. yelp. tripadvisor. eventbrite. youtube. wikipedia. mapquest. yellowpages. bbb.org guidestar. charitynavigator.".split()
@@ -72,31 +73,94 @@ def distinct_results(results: DataFrame) -> DataFrame:
     return results.select("url").filter("url is not null").distinct().orderBy("url")
 
 
-def char_batches(df: DataFrame, keys: list[str], order: list[str], text: str, most: int = 24_000) -> DataFrame:
-    """df with batch per key: a new one where the next text would bring the running one over `most` characters.
+def running_totals(df: DataFrame, keys: list[str], order: list[str], size: Column) -> DataFrame:
+    """df with place (from 0) and total (sum of size up to and with the row) per key, in order; order tells rows of a key apart.
 
-    Rows come to a task sorted by key and order and are folded as they stream by, so a key of any size takes linear
-    time and holds no more than an Arrow batch.
+    Rows are dealt by ranges of key and order, so a key may fill many tasks: tasks number and sum their own rows, and
+    the sums of the parts of a key before are added.
     """
-    rows = df.withColumn("_n", F.length(F.coalesce(text, F.lit("")))).repartition(*keys).sortWithinPartitions(*keys, *order)
+    names = [f.name for f in df.schema]
+    rows = df.withColumn("_n", size.cast("long")).repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
 
     def run(batches):
         import pyarrow as pa
+        from pyspark import TaskContext
 
-        before, batch, used = None, 0, 0
-        for part in batches:
-            out = []
-            for *key, n in zip(*(part.column(part.schema.get_field_index(c)).to_pylist() for c in [*keys, "_n"])):
+        part, before, place, total = TaskContext.get().partitionId(), None, 0, 0
+        for batch in batches:
+            places, totals = [], []
+            for *key, n in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in [*keys, "_n"])):
                 if key != before:
-                    before, batch, used = key, 0, 0
-                if used and used + n > most:
-                    batch, used = batch + 1, 0
-                used += n
-                out.append(batch)
-            yield part.drop_columns(["_n"]).append_column("batch", pa.array(out, pa.int32()))
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-    return rows.mapInArrow(run, f"{schema}, batch int")
+                    before, place, total = key, 0, 0
+                total += n
+                places.append(place)
+                totals.append(total)
+                place += 1
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([part] * batch.num_rows, pa.int32()), pa.array(places, pa.int64()), pa.array(totals, pa.int64())], [*batch.schema.names, "_part", "place", "total"])
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    own = cut_lineage(rows.mapInArrow(run, f"{kinds}, _part int, place long, total long"))
+    parts = own.groupBy(*keys, "_part").agg(F.count("*").alias("_rows"), F.max("total").alias("_sum"))
+    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), F.col("_part").alias("_p"), F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_rows"), F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_sum"))
+    same = [own["_part"] == offsets["_p"], *(own[k].eqNullSafe(offsets[f"_k{i}"]) for i, k in enumerate(keys))]
+    return own.join(offsets, same).select(*(own[c] for c in names), (F.col("place") + F.col("_rows")).alias("place"), (F.col("total") + F.col("_sum")).alias("total"), F.col("_n").alias("size"))
+
+
+def char_batches(df: DataFrame, keys: list[str], order: list[str], text: str, most: int = 24_000) -> DataFrame:
+    """df with batch per key: a new one where the next text would bring the running one over `most` characters.
+
+    Where a batch begins depends on the batch before, but where it would end can be told for every row from running
+    totals: at the first row whose total goes beyond `most` more than the total before it (an opening text over the
+    budget stays, the row behind it begins the next). These jumps are found in stretches of `most` characters, each
+    a bounded group, and doubled until the first row's chain is known, so a key of any size spreads over tasks.
+    """
+    rows = cut_lineage(running_totals(df, keys, order, F.length(F.coalesce(text, F.lit("")))))
+    at = {k: f"_k{i}" for i, k in enumerate(keys)}
+    slim = rows.select(*(F.col(k).alias(v) for k, v in at.items()), F.col("place").alias("_i"), F.col("total").alias("_t"), F.col("size").alias("_s"))
+    ks = list(at.values())
+    stretch = lambda c: F.floor(c / most)
+    # the row that first goes beyond x ends at more than x and begins at x or less: it touches the stretch of x
+    ends = slim.filter("_s > 0").select(*ks, F.explode(F.sequence(stretch(F.col("_t") - F.col("_s")), stretch(F.col("_t")))).alias("_b"), F.col("_t").alias("_v"), F.col("_i").alias("_at"), F.lit(0).alias("_o"))
+    goal = (F.col("_t") - F.col("_s") + most).alias("_v")
+    asked = slim.select(*ks, goal).distinct().select(*ks, stretch(F.col("_v")).alias("_b"), "_v", F.lit(None).cast("long").alias("_at"), F.lit(1).alias("_o"))
+    after = Window.partitionBy(*ks, "_b").orderBy("_v", "_o").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    beyond = ends.union(asked).withColumn("_next", F.first("_at", ignorenulls=True).over(after)).filter("_o = 1 and _next is not null").select(*ks, "_v", "_next")
+    same = lambda a, b: [a[k].eqNullSafe(b[f"{k}_"]) for k in ks]
+    named = lambda d: d.select(*(F.col(k).alias(f"{k}_") for k in ks), *(c for c in d.columns if c not in ks))
+    b = named(beyond)
+    with_goal = slim.withColumn("_goal", F.col("_t") - F.col("_s") + most)
+    jumps = with_goal.join(b, [*same(with_goal, b), with_goal["_goal"] == b["_v"]]).select(*ks, "_i", F.col("_t") - F.col("_s"), "_next")
+    jumps = jumps.toDF(*ks, "_i", "_base", "_next")
+    # behind an opening text over the budget, zeros before it included, the next row begins a batch
+    full = named(slim.select(*ks, F.col("_i").alias("_at"), (F.col("_t") - F.col("_s")).alias("_before")))
+    jumps = jumps.join(full, [*same(jumps, full), jumps["_next"] == full["_at"]]).select(*ks, "_i", (F.col("_next") + F.when(F.col("_before") == F.col("_base"), 1).otherwise(0)).alias("_next"))
+    last = named(slim.groupBy(*ks).agg(F.max("_i").alias("_last")))
+    jumps = cut_lineage(jumps.join(last, same(jumps, last)).filter("_next <= _last").select(*ks, "_i", "_next"))
+
+    starts, step = slim.filter("_i = 0").select(*ks, "_i", F.lit(0).alias("_n")), 1
+    while True:
+        j = named(jumps)
+        reached = starts.join(j.withColumnRenamed("_i", "_j"), [*same(starts, j), starts["_i"] == F.col("_j")]).select(*ks, F.col("_next").alias("_i"), (F.col("_n") + step).alias("_n"))
+        reached = cut_lineage(reached)
+        if reached.isEmpty():
+            break
+        starts, step = starts.union(reached), step * 2
+        further = named(jumps.withColumnsRenamed({"_i": "_from", "_next": "_to"}))
+        jumps = cut_lineage(jumps.join(further, [*same(jumps, further), jumps["_next"] == further["_from"]]).select(*ks, "_i", F.col("_to").alias("_next")))
+
+    # a batch holds the rows from its start to the next: met again in the stretches where they begin
+    started = named(starts)
+    begun = slim.join(started.withColumnRenamed("_i", "_j"), [*same(slim, started), slim["_i"] == F.col("_j")]).select(*ks, "_n", "_i", (F.col("_t") - F.col("_s")).alias("_from"))
+    following = named(begun.select(*ks, (F.col("_n") - 1).alias("_before"), F.col("_i").alias("_end"), F.col("_from").alias("_to")))
+    spans = begun.join(following, [*same(begun, following), begun["_n"] == following["_before"]], "left").select(*ks, "_n", "_i", "_end", "_from", "_to")
+    ends_of = named(slim.groupBy(*ks).agg(F.max("_t").alias("_all")))
+    spans = spans.join(ends_of, same(spans, ends_of)).select(*ks, "_n", "_i", "_end", F.explode(F.sequence(stretch(F.col("_from")), stretch(F.coalesce("_to", "_all")))).alias("_b"))
+    spans = named(spans.withColumnsRenamed({"_i": "_start", "_b": "_in"}))
+    placed = rows.withColumn("_b", stretch(F.col("total") - F.col("size")))
+    within = (placed["place"] >= F.col("_start")) & (F.col("_end").isNull() | (placed["place"] < F.col("_end")))
+    joined = placed.join(spans, [*(placed[k].eqNullSafe(spans[f"{v}_"]) for k, v in at.items()), placed["_b"] == spans["_in"], within])
+    return joined.select(*(placed[c] for c in df.columns), F.col("_n").cast("int").alias("batch"))
 
 
 def rediscover(lost: DataFrame, results: DataFrame, pages: DataFrame, sources: DataFrame, foreign: tuple[str, ...] = ()) -> DataFrame:

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
 from ..functions import text as T
-from ..functions.similarity import token_set
+from .chains import cut_lineage, refused_in_order
 from .matching import SAME, SAME_BY_TITLE, overlap_join, scored
 from .productions import HEADERS, inherit_full_rows, problems
 
@@ -59,26 +58,19 @@ def calendar_duplicates(rows: DataFrame, calendar: DataFrame) -> DataFrame:
 def upload_duplicates(rows: DataFrame) -> DataFrame:
     """rows(row_id, title, venue, start_date, end_date) with repeats: the earlier accepted row of the upload that a row repeats.
 
-    Rows are held, in order, against accepted rows before them, so the outcome of one depends on others. Only rows
-    that share a pair can matter to each other: pairs on the same days are scored on Spark, and the order is
-    replayed per component of pairs.
+    Rows are taken in order of row_id; one that is alike an accepted row before it repeats the likest of these (the
+    first of equal ones) and is not accepted itself, so outcomes depend on each other. Pairs on the same days are
+    scored once; who is accepted is settled in rounds of joins, all rows at a time.
     """
-    from ..operators.chains import groups
-
     side = lambda k: rows.select(F.col("row_id").alias(f"row_{k}"), F.col("title").alias(f"title_{k}"), F.col("venue").alias(f"venue_{k}"), F.col("start_date").alias("l_start" if k == "a" else "r_start"), F.col("end_date").alias("l_end" if k == "a" else "r_end"))
     pairs = scored(overlap_join(side("a").filter("l_start is not null"), side("b").filter("r_start is not null")).filter("row_b < row_a"))
-    alike = pairs.filter(F.col("score") >= F.when(F.col("used_venue"), SAME).otherwise(SAME_BY_TITLE)).select("row_a", "row_b", "score")
-    member = groups(alike.select(F.col("row_a").alias("a"), F.col("row_b").alias("b")))
+    alike = cut_lineage(pairs.filter(F.col("score") >= F.when(F.col("used_venue"), SAME).otherwise(SAME_BY_TITLE)).select("row_a", "row_b", "score"))
+    refused = refused_in_order(alike.select(F.col("row_a").alias("later"), F.col("row_b").alias("earlier")))
+    accepted = alike.join(refused.withColumnRenamed("node", "row_b"), "row_b", "left_anti")
+    best = accepted.groupBy(F.col("row_a").alias("row_id")).agg(F.max_by("row_b", F.struct("score", -F.col("row_b"))).alias("repeats"))
+    return rows.join(best, "row_id", "left")
 
-    def replay(group: pd.DataFrame) -> pd.DataFrame:
-        repeats: dict[int, int] = {}
-        for row, mine in group.sort_values("row_a").groupby("row_a", sort=True):
-            open_rows = mine[~mine["row_b"].isin(repeats.keys())]
-            if len(open_rows):
-                best = open_rows.sort_values(["score", "row_b"], ascending=[False, True]).iloc[0]
-                repeats[int(row)] = int(best["row_b"])
-        return pd.DataFrame({"row_id": list(repeats), "repeats": list(repeats.values())}, dtype="int64")
 
-    placed = alike.join(member.select(F.col("node").alias("row_a"), "component"), "row_a")
-    found = placed.groupBy("component").applyInPandas(replay, "row_id long, repeats long")
-    return rows.join(found, "row_id", "left")
+def without_own_repeats(rows: DataFrame) -> DataFrame:
+    """A seed or upload's accepted rows only, as they came."""
+    return upload_duplicates(rows).filter("repeats is null").select(*rows.columns)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.similarity import blended, token_set, token_set_udf, token_sort_udf
+from .chains import cut_lineage
 
 #: Scores from which a pair is the same event, needs a look, or is the same although a venue is missing.
 SAME, UNSURE, SAME_BY_TITLE = 87.0, 72.0, 96.0
@@ -89,30 +90,58 @@ def resolve_names(names: DataFrame, directory: DataFrame) -> DataFrame:
     return names.join(exact.union(fuzzy), "name", "left").fillna({"confidence": 0.0})
 
 
+#: Open venues of a title and day that a round of cluster_greedily looks at as possible heads, and parts that the others are dealt into.
+HEADS_AT_ONCE, PARTS = 64, 16
+
+
 def cluster_greedily(events: DataFrame, *, least: float = 75.0) -> DataFrame:
     """events(event_id, title, venue, start_date) with cluster_id: the id of the first event of its cluster.
 
     Within equal titles and days, in order of id, an event joins the first cluster whose head's venue is alike;
-    without a venue it stays alone. This is not transitive, so it runs per group. Groups are one title on one day;
-    rows of one venue are alike always, so a group is first reduced to its distinct venues in order of first id.
+    without a venue it stays alone. This is not transitive. Equal venues always go together, so each is one row with
+    its first id. A round takes the first HEADS_AT_ONCE open venues of every title and day, finds the heads among
+    them, and sends each open venue, dealt over PARTS parts of its title and day, past these heads: alike ones leave.
+    So a title of one day may fill many tasks, and a row never meets more than HEADS_AT_ONCE others at a time.
     """
     keyed = events.withColumns({"_title": T.norm_title("title"), "_venue": T.norm_venue("venue")})
     firsts = keyed.filter("_venue <> ''").groupBy("_title", "start_date", "_venue").agg(F.min("event_id").alias("first_id"))
+    kinds = dict(firsts.dtypes)
+    head_list = f"array<struct<id:{kinds['first_id']},venue:string>>"
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        heads: list[tuple[int, str]] = []
+    @F.pandas_udf(head_list)
+    def heads_of(lists: pd.Series) -> pd.Series:
         out = []
-        for first_id, venue in group.sort_values("first_id")[["first_id", "_venue"]].itertuples(index=False):
-            head = next((h for h, v in heads if token_set(venue, v) >= least), None)
-            if head is None:
-                heads.append((first_id, venue))
-                head = first_id
-            out.append(head)
-        return group.sort_values("first_id").assign(cluster_id=out)[["_title", "start_date", "_venue", "cluster_id"]]
-
-    kinds = dict(firsts.dtypes)
-    placed = firsts.groupBy("_title", "start_date").applyInPandas(run, f"_title string, start_date {kinds['start_date']}, _venue string, cluster_id {kinds['first_id']}")
-    same = [keyed["_title"] == placed["_title"], keyed["start_date"].eqNullSafe(placed["start_date"]), keyed["_venue"] == placed["_venue"]]
+        for first in lists:
+            heads: list[dict] = []
+            for x in sorted(first, key=lambda x: x["id"]):
+                if not any(token_set(x["venue"], h["venue"]) >= least for h in heads):
+                    heads.append({"id": x["id"], "venue": x["venue"]})
+            out.append(heads)
+        return pd.Series(out)
+
+    @F.pandas_udf(kinds["first_id"])
+    def head_for(venues: pd.Series, lists: pd.Series) -> pd.Series:
+        found = [next((h["id"] for h in sorted(heads, key=lambda h: h["id"]) if token_set(v, h["venue"]) >= least), None) for v, heads in zip(venues, lists)]
+        return pd.Series(found, dtype="object")
+
+    group = ["_title", "start_date"]
+    part = F.pmod(F.xxhash64("_venue"), F.lit(PARTS))
+    open_, placed = cut_lineage(firsts.withColumn("_part", part)), None
+    while not open_.isEmpty():
+        place = F.row_number().over(Window.partitionBy(*group).orderBy("first_id"))
+        first = open_.withColumn("_r", place).filter(F.col("_r") <= HEADS_AT_ONCE)
+        heads = first.groupBy(*group).agg(F.collect_list(F.struct(F.col("first_id").alias("id"), F.col("_venue").alias("venue"))).alias("heads"))
+        heads = heads.select(F.col("_title").alias("_ht"), F.col("start_date").alias("_hd"), heads_of("heads").alias("heads"), F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("_hp"))
+        same = [open_["_title"] == heads["_ht"], open_["start_date"].eqNullSafe(heads["_hd"]), open_["_part"] == heads["_hp"]]
+        met = open_.join(heads, same).select(*(open_[c] for c in open_.columns), "heads").withColumn("cluster_id", head_for("_venue", "heads"))
+        met = cut_lineage(met.drop("heads"))
+        settled = met.filter("cluster_id is not null").select(*group, "_venue", "cluster_id")
+        placed = settled if placed is None else placed.union(settled)
+        open_ = met.filter("cluster_id is null").drop("cluster_id")
+    if placed is None:
+        return events.withColumn("cluster_id", F.col("event_id"))
+    placed = placed.toDF("_pt", "_pd", "_pv", "cluster_id")
+    same = [keyed["_title"] == placed["_pt"], keyed["start_date"].eqNullSafe(placed["_pd"]), keyed["_venue"] == placed["_pv"]]
     joined = keyed.join(placed, same, "left")
     return joined.select(*(keyed[c] for c in events.columns), F.coalesce("cluster_id", keyed["event_id"]).alias("cluster_id"))
 
