@@ -39,11 +39,11 @@ from ._common import discard, map_batches, materialise, plain_text, text_steps,
 from .token_counts import byte_letters
 
 #: Bytes of text in a chunk; a longer document is a chunk of its own.
-CHUNK_BYTES = 32 << 20
+CHUNK_BYTES = 16 << 20
 #: Linked id pairs whose counts a task may hold as arrays (20 bytes each); beyond it they are joined by a shuffle.
 PAIRS_HELD = 4_000_000
 #: Segments that are tokenised together, in number and characters.
-TOGETHER, TOGETHER_CHARS = 20_000, 1 << 20
+TOGETHER, TOGETHER_CHARS = 5_000, 1 << 20
 #: White space before which texts may be cut, if the vocabularies allow.
 CUTS = " \t\n\r\v\f"
 
@@ -319,6 +319,8 @@ def align_tokens(
     values = materialise(_summed(aligned, counted), "zstd")
     discard(aligned, counted)
     used = in_chunks.select(F.col("chunk").alias("in_chunk"), "number", "segment").join(values, "segment").drop("segment")
+    used = materialise(used, "zstd")
+    discard(values)
     documents = stored.filter("at is not null").select("chunk", "id", "at")
     numbers = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
 
