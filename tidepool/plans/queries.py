@@ -627,19 +627,4 @@ def family_counts(spark, sf_dir):
     return Cal.family_counts(corpus(spark, sf_dir, [(r[0],) for r in FAMILY_IDS], "ids array<int>"), "ids").select("family", "n")
 
 
-@query()
-def char_batches(spark, sf_dir):
-    """Greedy batches of a conversation's turns by characters; an order-dependent fold, so tests hold it against a loop."""
-    turns = t(spark, sf_dir, "conversations")
-    return discovery.char_batches(turns, ["conv_id"], ["turn"], "text", 2_000).select("conv_id", "turn", "batch")
-
-
-@query()
-def cluster_greedily(spark, sf_dir):
-    """Parts as events: title by size, day by brand, venue by name; greedy clusters per title and day, tested against a loop."""
-    part = t(spark, sf_dir, "part")
-    events = part.select(F.col("p_partkey").alias("event_id"), F.concat(F.lit("show "), F.col("p_size").cast("string")).alias("title"), F.col("p_name").alias("venue"), F.date_add(F.lit("2024-01-01").cast("date"), (F.col("p_partkey") % 3).cast("int")).alias("start_date"))
-    return matching.cluster_greedily(events).select("event_id", "cluster_id")
-
-
-from . import feed_queries, product_queries  # noqa: E402, F401 - they register their own queries
+from . import feed_queries, order_queries, product_queries  # noqa: E402, F401 - they register their own queries
