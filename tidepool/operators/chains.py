@@ -4,18 +4,26 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir; where that is unset in a local session (tests), a temporary one."""
+    where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if where is None:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        where = tempfile.mkdtemp(prefix="spark-checkpoint-")
+        spark.conf.set("spark.checkpoint.dir", where)
+    return where.rstrip("/")
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """df written to the folder of spark.checkpoint.dir; where that is unset in a local session (tests), to a temporary one."""
+    """df written to the session's shared folder, so that what follows doesn't depend on what came before."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        where = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if where is None and context.master.split("[")[0] != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        context.setCheckpointDir(where or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 

@@ -74,7 +74,7 @@ def distinct_results(results: DataFrame) -> DataFrame:
 
 
 def running_totals(df: DataFrame, keys: list[str], order: list[str], size: Column) -> DataFrame:
-    """df with place (from 0) and total (sum of size up to and with the row) per key, in order; order tells rows of a key apart.
+    """df with _place (from 0), _size and _total (sum of sizes up to and with the row) per key, in order; order tells rows of a key apart.
 
     Rows are dealt by ranges of key and order, so a key may fill many tasks: tasks number and sum their own rows, and
     the sums of the parts of a key before are added.
@@ -96,15 +96,15 @@ def running_totals(df: DataFrame, keys: list[str], order: list[str], size: Colum
                 places.append(place)
                 totals.append(total)
                 place += 1
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([part] * batch.num_rows, pa.int32()), pa.array(places, pa.int64()), pa.array(totals, pa.int64())], [*batch.schema.names, "_part", "place", "total"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([part] * batch.num_rows, pa.int32()), pa.array(places, pa.int64()), pa.array(totals, pa.int64())], [*batch.schema.names, "_part", "_place", "_total"])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    own = cut_lineage(rows.mapInArrow(run, f"{kinds}, _part int, place long, total long"))
-    parts = own.groupBy(*keys, "_part").agg(F.count("*").alias("_rows"), F.max("total").alias("_sum"))
+    own = cut_lineage(rows.mapInArrow(run, f"{kinds}, _part int, _place long, _total long"))
+    parts = own.groupBy(*keys, "_part").agg(F.count("*").alias("_rows"), F.max("_total").alias("_sum"))
     earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = parts.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), F.col("_part").alias("_p"), F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_rows"), F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_sum"))
     same = [own["_part"] == offsets["_p"], *(own[k].eqNullSafe(offsets[f"_k{i}"]) for i, k in enumerate(keys))]
-    return own.join(offsets, same).select(*(own[c] for c in names), (F.col("place") + F.col("_rows")).alias("place"), (F.col("total") + F.col("_sum")).alias("total"), F.col("_n").alias("size"))
+    return own.join(offsets, same).select(*(own[c] for c in names), (F.col("_place") + F.col("_rows")).alias("_place"), (F.col("_total") + F.col("_sum")).alias("_total"), F.col("_n").alias("_size"))
 
 
 def char_batches(df: DataFrame, keys: list[str], order: list[str], text: str, most: int = 24_000) -> DataFrame:
@@ -117,7 +117,7 @@ def char_batches(df: DataFrame, keys: list[str], order: list[str], text: str, mo
     """
     rows = cut_lineage(running_totals(df, keys, order, F.length(F.coalesce(text, F.lit("")))))
     at = {k: f"_k{i}" for i, k in enumerate(keys)}
-    slim = rows.select(*(F.col(k).alias(v) for k, v in at.items()), F.col("place").alias("_i"), F.col("total").alias("_t"), F.col("size").alias("_s"))
+    slim = rows.select(*(F.col(k).alias(v) for k, v in at.items()), F.col("_place").alias("_i"), F.col("_total").alias("_t"), F.col("_size").alias("_s"))
     ks = list(at.values())
     stretch = lambda c: F.floor(c / most)
     # the row that first goes beyond x ends at more than x and begins at x or less: it touches the stretch of x
@@ -157,8 +157,8 @@ def char_batches(df: DataFrame, keys: list[str], order: list[str], text: str, mo
     ends_of = named(slim.groupBy(*ks).agg(F.max("_t").alias("_all")))
     spans = spans.join(ends_of, same(spans, ends_of)).select(*ks, "_n", "_i", "_end", F.explode(F.sequence(stretch(F.col("_from")), stretch(F.coalesce("_to", "_all")))).alias("_b"))
     spans = named(spans.withColumnsRenamed({"_i": "_start", "_b": "_in"}))
-    placed = rows.withColumn("_b", stretch(F.col("total") - F.col("size")))
-    within = (placed["place"] >= F.col("_start")) & (F.col("_end").isNull() | (placed["place"] < F.col("_end")))
+    placed = rows.withColumn("_b", stretch(F.col("_total") - F.col("_size")))
+    within = (placed["_place"] >= F.col("_start")) & (F.col("_end").isNull() | (placed["_place"] < F.col("_end")))
     joined = placed.join(spans, [*(placed[k].eqNullSafe(spans[f"{v}_"]) for k, v in at.items()), placed["_b"] == spans["_in"], within])
     return joined.select(*(placed[c] for c in df.columns), F.col("_n").cast("int").alias("batch"))
 

@@ -627,4 +627,4 @@ def family_counts(spark, sf_dir):
     return Cal.family_counts(corpus(spark, sf_dir, [(r[0],) for r in FAMILY_IDS], "ids array<int>"), "ids").select("family", "n")
 
 
-from . import feed_queries, order_queries, product_queries  # noqa: E402, F401 - they register their own queries
+from . import feed_queries, file_queries, model_queries, order_queries, product_queries  # noqa: E402, F401 - they register their own queries

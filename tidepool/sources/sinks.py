@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import io
-import zipfile
 from html import escape
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.productions import HEADERS, expired_events
+from .workbooks import body_of
 
 
 def replace_partitions(df: DataFrame, path: str, by: str) -> None:
@@ -32,21 +31,7 @@ def workbook(rows: DataFrame, most: int = 50_000) -> bytes:
     data = rows.orderBy("production_start", "production", "position").select(*(F.col(f"`{h}`") for h in HEADERS)).limit(most + 1).collect()
     if len(data) > most:
         raise ValueError(f"more than {most} rows; write them as CSV")
-    line = lambda i, values: f'<row r="{i}">' + "".join(f'<c t="inlineStr"><is><t xml:space="preserve">{escape("" if v is None else str(v))}</t></is></c>' for v in values) + "</row>"
-    sheet = "".join([line(1, HEADERS), *(line(i, r) for i, r in enumerate(data, 2))])
-    ns = "http://schemas.openxmlformats.org"
-    parts = {
-        "[Content_Types].xml": f'<Types xmlns="{ns}/package/2006/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Default Extension="xml" ContentType="application/xml"/><Override PartName="/xl/workbook.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/><Override PartName="/xl/worksheets/sheet1.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/></Types>',
-        "_rels/.rels": f'<Relationships xmlns="{ns}/package/2006/relationships"><Relationship Id="rId1" Type="{ns}/officeDocument/2006/relationships/officeDocument" Target="xl/workbook.xml"/></Relationships>',
-        "xl/workbook.xml": f'<workbook xmlns="{ns}/spreadsheetml/2006/main" xmlns:r="{ns}/officeDocument/2006/relationships"><sheets><sheet name="events" sheetId="1" r:id="rId1"/></sheets></workbook>',
-        "xl/_rels/workbook.xml.rels": f'<Relationships xmlns="{ns}/package/2006/relationships"><Relationship Id="rId1" Type="{ns}/officeDocument/2006/relationships/worksheet" Target="worksheets/sheet1.xml"/></Relationships>',
-        "xl/worksheets/sheet1.xml": f'<worksheet xmlns="{ns}/spreadsheetml/2006/main"><sheetData>{sheet}</sheetData></worksheet>',
-    }
-    out = io.BytesIO()
-    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
-        for name, body in parts.items():
-            z.writestr(name, '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>' + body)
-    return out.getvalue()
+    return body_of(HEADERS, data)
 
 
 def read_workbook_rows(df: DataFrame) -> DataFrame:
