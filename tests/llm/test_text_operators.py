@@ -113,6 +113,13 @@ def test_hidden_secrets_and_their_places():
     assert secret_scan.all_spans("plain words, no secret") == ([], [])
 
 
+def test_wrapped_with_indentation_or_written_line_ends():
+    letters = base64.b64encode(gzip.compress(b"some words, token = abcdefgh12345678, more of them and more")).decode()
+    for between in ("\n    ", "\r\n\t", "\\n", "\\r\\n"):
+        text = "see " + between.join(letters[i : i + 40] for i in range(0, len(letters), 40)) + " end"
+        assert any(kind == 0 for kind, _, _ in secret_scan.all_spans(text)[1]), between
+
+
 def test_compressed_secrets_below_every_outer_layer():
     """URL-safe and wrapped base64, percent-encoding that leaves letters bare, of gzip (any OS byte) and zlib data."""
     wrapped = lambda b: base64.encodebytes(b).decode().rstrip("\n")
@@ -184,6 +191,30 @@ def test_large_layers_are_scanned_to_their_end():
         assert any(kind == 0 and start >= 4 and end <= len(text) - 4 for kind, start, end in found)
 
 
+def test_large_layers_inside_others_are_scanned_to_their_end():
+    """A secret behind far more than a piece of data, two compressed layers deep, also with base64 between them."""
+    far, secret = b"nothing here, no. " * 1_200_000, b" token = abcdefgh12345678 "
+    assert len(far) > 20 << 20
+    inner = gzip.compress(far + secret, 1)
+    noise = random.Random(5).randbytes(5 << 20)
+    for raw in (gzip.compress(inner), gzip.compress(base64.b64encode(inner)), gzip.compress(gzip.compress(noise + secret))):
+        text = "see " + base64.b64encode(raw).decode() + " end"
+        found = secret_scan.all_spans(text)[1]
+        assert any(kind == 0 and start >= 4 and end <= len(text) - 4 for kind, start, end in found)
+
+
+def test_runs_and_escapes_are_found_where_they_begin():
+    """The quick patterns find what the plain ones find: whole runs of letters, over line ends too."""
+    plain = re.compile(r"[A-Za-z0-9+/_-]+(?:(?:\r?\n[ \t]*|(?:\\r)?\\n)[A-Za-z0-9+/_-]+)*={0,2}")
+    mixed = re.compile(r"[A-Za-z0-9_.~/+%-]+")
+    r = random.Random(3)
+    for _ in range(5_000):
+        t = "".join(r.choice(["a", "bcdefghijkl", "Z9", "=", "\n", "\r\n", " ", "\\n", "\\r", "\\", "%41", "%", "é", "-", "."]) for _ in range(r.randint(1, 14)))
+        long = [m.span() for m in plain.finditer(t) if m.end() - m.start() >= 12 and re.search(r"[A-Za-z0-9+/_-]{12}|\n|\\n", m[0])]
+        assert [m.span() for m in secret_scan.RUN.finditer(t) if m.end() - m.start() >= 12] == long
+        assert [m.span() for m in secret_scan.MIXED.finditer(t)] == [m.span() for m in mixed.finditer(t) if "%" in m[0]]
+
+
 def test_secret_tables(spark):
     rows = awkward_rows()
     got = secret_scan.scan_secrets(with_clashing_columns(frame(spark))).collect()

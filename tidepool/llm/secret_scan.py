@@ -38,16 +38,19 @@ from ._common import map_batches, plain_text, text_steps
 
 KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
 
 ESCAPE = re.compile(r"(?:%[0-9A-Fa-f]{2})+|%u[0-9A-Fa-f]{4}|\\u\{[0-9A-Fa-f]{1,6}\}|\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}")
-RUN = re.compile(r"[A-Za-z0-9+/_-]+(?:(?:\r?\n[ \t]*|(?:\\r)?\\n)[A-Za-z0-9+/_-]+)*={0,2}")
+#: A run begins where no letter stands before it and has 12 letters at once or goes on after a line end.
+RUN = re.compile(r"(?x) [L](?<![L][L]) (?: [L]{11,} (?:(?:\r?\n[ \t]*|(?:\\r)?\\n)[L]+)* | [L]{0,10} (?:(?:\r?\n[ \t]*|(?:\\r)?\\n)[L]+)+ ) ={0,2}".replace("L", "A-Za-z0-9+/_-"))
 #: The parts of a run: line ends, written out or not, or letters.
 RUN_PART = re.compile(r"\r?\n[ \t]*|(?:\\r)?\\n|([A-Za-z0-9+/_-]+)")
 LINE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
 #: A run of percent escapes and the characters that percent-encoding leaves bare.
-MIXED = re.compile(r"[A-Za-z0-9_.~/+%-]+")
+MIXED = re.compile(r"(?x) [%L](?<![%L]{2}) (?:(?<=%)|[L]*%) [%L]*".replace("L", "A-Za-z0-9_.~/+-"))
+PERCENT = re.compile(r"%[0-9A-Fa-f]{2}")
 #: zlib's first two bytes: method 8, one of eight windows, one of four levels, and a check sum that makes 31 divide them.
 ZLIB = {bytes([cmf, level << 6 | -(cmf << 8 | level << 6) % 31]) for cmf in range(0x08, 0x79, 0x10) for level in range(4)}
 MAGIC = re.compile(rb"\x1f\x8b\x08|BZh[1-9]|\xfd7zXZ\x00|\x5d\x00\x00|" + b"|".join(map(re.escape, sorted(ZLIB))))
@@ -66,7 +69,8 @@ FEWEST = 12
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(kind, start, end) of each secret as it stands, leftmost and without overlap within a kind."""
-    found = [(0, m.start(), m.end()) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 8]
+    lower = text.lower()  # the words are looked for first, which is quicker than the pattern
+    found = [(0, m.start(), m.end()) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 8] if any(w in lower for w in WORDS) else []
     found += [(1, m.start(), m.end()) for m in ACCESS.finditer(text)]
     found += [(2, m.start(), m.end()) for m in HEX.finditer(text)]
     return found
@@ -311,7 +315,7 @@ def undo_escapes(layer: Layer, scan: Scan) -> list[Layer]:
             highs += [high[at : m.start()], high[ends - 1]]
         at = m.end()
     for m in MIXED.finditer(text):
-        if "%" not in m[0]:
+        if PERCENT.search(m[0]) is None:
             continue
         for raw in {unquote_to_bytes(m[0]), unquote_to_bytes(m[0].replace("+", " "))}:
             for start in MAGIC.finditer(raw):
