@@ -360,3 +360,18 @@ def test_representatives_of_clusters(spark):
     got = find_repeats(events).collect()
     assert len(got) == len(rows)
     assert {r["event_id"] for r in got if r["is_representative"]} == {3, 5, 6}
+
+
+def test_every_reference_of_the_standard(spark):
+    """Names with and without semicolon, numbers of all kinds, what only looks like one; each equal to the standard library's."""
+    import html
+
+    names = [f"a &{n} b" for n in T.NAMED] + [f"&{n}x9;" for n in T.LEGACY]
+    codes = [0, 1, 9, 11, 12, 13, 38, 127, 128, 129, 150, 159, 160, 0xD800, 0xDFFF, 0xFDD0, 0xFFFE, 0x1F600, 0x10FFFF, 0x110000, 10**9, 10**20]
+    numbers = [f(c) for c in codes for f in ("&#{};".format, "&#{}x".format, "&#x{:x};".format, "&#X000{:X} ".format)]
+    odd = ["", "&", "&&amp;amp;", "&#;", "&#x;", "&#xg", "& lt;", "&notit;", "&nope;", "&amp;lt;", "x&lt", "&" + "a" * 40 + ";", "line\n&gt;\n&"]
+    texts = names + numbers + odd
+    rows = spark.createDataFrame([(i, x) for i, x in enumerate([*texts, None])], "i int, t string").select("i", T.unescape("t").alias("u")).collect()
+    got = dict(map(tuple, rows))
+    assert got.pop(len(texts)) is None
+    assert {texts[i]: u for i, u in got.items()} == {x: html.unescape(x) for x in texts}

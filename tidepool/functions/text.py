@@ -6,18 +6,16 @@ can't be read is null.
 
 from __future__ import annotations
 
+import json
+from html import entities
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: The named character references that pages use most, and what they stand for.
-ENTITIES = {
-    "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&nbsp;": "\u00a0", "&copy;": "©", "&reg;": "®", "&trade;": "™",
-    "&middot;": "·", "&bull;": "•", "&hellip;": "…", "&ndash;": "–", "&mdash;": "—", "&lsquo;": "‘", "&rsquo;": "’",
-    "&ldquo;": "“", "&rdquo;": "”", "&eacute;": "é", "&egrave;": "è", "&agrave;": "à", "&ouml;": "ö", "&uuml;": "ü", "&auml;": "ä", "&ntilde;": "ñ",
-}
 #: Legal and filler words that don't tell two venues apart.
 VENUE_NOISE = "inc ltd llc the co corp foundation association".split()
 
+#: The patterns of amounts and phone numbers.
 MONEY = r"\$\s*(\d[\d,]*(?:\.\d{1,2})?)"
 BARE_MONEY = r"^\s*(\d[\d,]*(?:\.\d{1,2})?)(?:\s*[-–—]\s*(\d[\d,]*(?:\.\d{1,2})?))?\s*$"
 PHONE = r"(?:\+?1[\s.-]?)?\(?(\d{3})\)?[\s.-]?(\d{3})[\s.-]?(\d{4})"
@@ -37,15 +35,51 @@ def collapse(c) -> Column:
     return F.trim(F.regexp_replace(_col(c), r"(?U)\s+", " "))
 
 
+def _char(code: int) -> str:
+    """What a numbered reference stands for: as browsers read it, 80 to 9F are Windows letters, and some give nothing."""
+    if 0x80 <= code < 0xA0:
+        return bytes([code]).decode("cp1252", "ignore") or chr(code)
+    return "\ufffd" if code == 0 else "\r" if code == 13 else ""
+
+
+#: Every name of the standard, with its semicolon where it needs one, and those that count without.
+NAMED = dict(entities.html5)
+LEGACY = {name: text for name, text in NAMED.items() if not name.endswith(";")}
+#: Numbers that don't stand for the character of that number.
+ODD_CODES = {code: _char(code) for code in [0, *range(1, 9), 11, 13, *range(14, 32), *range(127, 160), *range(0xFDD0, 0xFDF0), *(p << 16 | low for p in range(17) for low in (0xFFFE, 0xFFFF))]}
+#: A reference of any kind, or text up to the next one.
+PIECE = r"&#[0-9]+;?|&#[xX][0-9a-fA-F]+;?|&[^\t\n\f <&#;]{1,32};?|&|[^&]+"
+
+
+def _lookup(table: dict, key: Column) -> Column:
+    """table[key] or null; the table is one constant, parsed once when the query is planned."""
+    kind = "map<string,string>"
+    return F.try_element_at(F.from_json(F.lit(json.dumps({str(k): v for k, v in table.items()})), kind), key)
+
+
+def _numbered(piece: Column) -> Column:
+    digits = F.regexp_extract(piece, r"^&#[xX]?0*([0-9a-fA-F]*);?$", 1)
+    whole = F.when(digits == "", "0").otherwise(digits)
+    hexed = F.lower(F.substring(piece, 3, 1)) == "x"
+    code = F.when(F.length(digits) > 7, F.lit(0x110000)).otherwise(F.when(hexed, F.conv(whole, 16, 10)).otherwise(F.conv(whole, 10, 10)).cast("int"))
+    return F.when((code >= 0xD800) & (code < 0xE000) | (code > 0x10FFFF), "\ufffd").otherwise(
+        F.coalesce(_lookup(ODD_CODES, code.cast("string")), F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+    )
+
+
+def _named(piece: Column) -> Column:
+    """The whole name, or else the longest beginning that counts without a semicolon, and the rest as it is."""
+    name = F.substring(piece, 2, 40)
+    longest = max(map(len, LEGACY))
+    starts = [F.concat(_lookup(LEGACY, F.substring(name, 1, n)), F.substring(name, n + 1, 40)) for n in range(longest, 1, -1)]
+    return F.coalesce(_lookup(NAMED, name), *starts, piece)
+
+
 def unescape(c) -> Column:
-    """The common named references, and numbered ones below 128; &amp; last, so nothing is decoded twice."""
-    out = _col(c)
-    for name, char in ENTITIES.items():
-        out = F.replace(out, F.lit(name), F.lit(char))
-    for code in (34, 38, 39, 60, 62):
-        for form in (f"&#{code};", f"&#0{code};", f"&#x{code:x};"):
-            out = F.replace(out, F.lit(form), F.lit(chr(code)))
-    return F.replace(out, F.lit("&amp;"), F.lit("&"))
+    """Character references of the HTML standard decoded in one pass, so that nothing is decoded twice."""
+    text = _col(c)
+    piece = lambda p: F.when(F.startswith(p, F.lit("&#")) & (F.length(p) > 2), _numbered(p)).when(F.startswith(p, F.lit("&")) & (F.length(p) > 1), _named(p)).otherwise(p)
+    return F.when(F.contains(text, F.lit("&")), F.array_join(F.transform(F.regexp_extract_all(text, F.lit(PIECE), F.lit(0)), piece), "")).otherwise(text)
 
 
 def clean_text(c) -> Column:

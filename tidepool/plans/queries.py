@@ -45,9 +45,13 @@ def sql_collapse(x: str) -> str:
     return f"trim(regexp_replace({x}, '{WS}', ' ', 'g'))"
 
 
+#: The named references that the tables hold; page_references covers all others.
+COMMON = "lt gt quot apos nbsp copy reg trade middot bull hellip ndash mdash lsquo rsquo ldquo rdquo eacute egrave agrave ouml uuml auml ntilde".split()
+
+
 def sql_unescape(x: str) -> str:
-    for name, char in T.ENTITIES.items():
-        x = f"replace({x}, {sql_quote(name)}, {sql_quote(char)})"
+    for name in COMMON:
+        x = f"replace({x}, '&{name};', {sql_quote(T.NAMED[name + ';'])})"
     for code in (34, 38, 39, 60, 62):
         for form in (f"&#{code};", f"&#0{code};", f"&#x{code:x};"):
             x = f"replace({x}, {sql_quote(form)}, {sql_quote(chr(code))})"
@@ -114,6 +118,26 @@ def pages_by_host(spark, sf_dir):
     return last.groupBy(T.host("url").alias("host")).agg(F.count("*").alias("n"), F.count_distinct("h").alias("n_titles"))
 
 
+_values = lambda table: ", ".join(f"({sql_quote(str(k))}, {sql_quote(v)})" for k, v in table.items())
+
+
+@query(
+    rf"""WITH n(name, txt) AS (VALUES {_values(T.NAMED)}), c(number, txt) AS (VALUES {_values({k: v for k, v in T.ODD_CODES.items() if v})}),
+    p AS (SELECT page_id, regexp_extract_all(regexp_replace(replace(html, ' ', '&'), '([0-9]+)', '&#\1;', 'g'), '&#[0-9]+;|&[^\t\n\f <&#;]{{1,32}};?|&|[^&]+') AS pieces FROM pages),
+    k AS (SELECT page_id, unnest(pieces) AS piece, generate_subscripts(pieces, 1) AS i FROM p),
+    u AS (SELECT DISTINCT piece, substr(piece, 2) AS name, TRY_CAST(regexp_extract(piece, '^&#([0-9]+);', 1) AS HUGEINT) AS code FROM k WHERE starts_with(piece, '&')),
+    l AS (SELECT piece, max_by(txt || substr(u.name, length(n.name) + 1), length(n.name)) AS txt FROM u JOIN n ON n.name NOT LIKE '%;' AND starts_with(u.name, n.name) GROUP BY piece),
+    d AS (SELECT u.piece, CASE WHEN code IS NULL THEN coalesce(n.txt, l.txt, u.piece) WHEN c.txt IS NOT NULL THEN c.txt WHEN code < 9 OR code = 11 OR code BETWEEN 14 AND 31 OR code = 127 OR code BETWEEN 64976 AND 65007 OR code % 65536 >= 65534 AND code <= 1114111 THEN ''
+        WHEN code BETWEEN 55296 AND 57343 OR code > 1114111 THEN chr(65533) ELSE chr(code::INT) END AS txt
+      FROM u LEFT JOIN n ON n.name = u.name LEFT JOIN l ON l.piece = u.piece LEFT JOIN c ON number = code::VARCHAR)
+    SELECT page_id, sha1(string_agg(coalesce(txt, k.piece), '' ORDER BY i)) AS h FROM k LEFT JOIN d ON d.piece = k.piece GROUP BY page_id"""
+)
+def page_references(spark, sf_dir):
+    """Whole pages with every word and number made a reference, known or not, and decoded."""
+    made = F.regexp_replace(F.replace("html", F.lit(" "), F.lit("&")), "([0-9]+)", "&#$1;")
+    return t(spark, sf_dir, "pages").filter("html <> ''").select("page_id", F.sha1(T.unescape(made)).alias("h"))
+
+
 @query(f"SELECT page_id, length(x)::BIGINT AS n_chars, sha1(x) AS h FROM (SELECT page_id, {sql_visible('html')} AS x FROM pages)")
 def page_text(spark, sf_dir):
     x = T.visible_text("html")
