@@ -6,23 +6,35 @@ the functions are pandas UDFs, to be run on blocked candidates only.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 
-def lcs_length(a: str, b: str) -> int:
-    if not a or not b:
-        return 0
+def _masks(a: str) -> dict[str, int]:
     masks: dict[str, int] = {}
     for i, ch in enumerate(a):
         masks[ch] = masks.get(ch, 0) | 1 << i
-    full = (1 << len(a)) - 1
+    return masks
+
+
+def _lcs_lengths(masks: dict[str, int], n: int, b: str) -> Iterator[int]:
+    """The lcs of a text of n letters with each beginning of b, from the first letter on."""
+    full = (1 << n) - 1
     row = full
     for ch in b:
         hit = row & masks.get(ch, 0)
         row = (row + hit | row - hit) & full
-    return len(a) - row.bit_count()
+        yield n - row.bit_count()
+
+
+def lcs_length(a: str, b: str) -> int:
+    length = 0
+    for length in _lcs_lengths(_masks(a), len(a), b):
+        pass
+    return length
 
 
 def ratio(a: str, b: str) -> float:
@@ -47,13 +59,29 @@ def token_set(a: str, b: str) -> float:
 
 
 def partial(a: str, b: str) -> float:
-    """The shorter string against each piece of the longer one of its length, pieces cut off by the ends included; both ways if they are of one length."""
+    """The shorter string against each piece of the longer one of its length, pieces cut off by the ends included; both ways if they are of one length.
+
+    Pieces at the ends come from one pass each. A piece further on by j letters has at most j more in common, so
+    after each piece as many are passed over as can't be better than the best so far.
+    """
     short, long = sorted((a, b), key=len)
     if not short:
         return 100.0 if not long else 0.0
     n = len(short)
-    ways = [(short, long), (long, short)] if n == len(long) else [(short, long)]
-    return max(ratio(s, t[max(0, i) : i + n]) for s, t in ways for i in range(1 - n, len(t)))
+    best = 0.0
+    for s, t in [(short, long), (long, short)] if n == len(long) else [(short, long)]:
+        masks = _masks(s)
+        for m, end in ((masks, t[: n - 1]), (_masks(s[::-1]), t[: -n : -1])):
+            best = max([best, *(200.0 * k / (n + size) for size, k in enumerate(_lcs_lengths(m, n, end), 1))])
+        at, most = 0, int(best * n / 100)
+        while at <= len(t) - n and most < n:
+            k = 0
+            for k in _lcs_lengths(masks, n, t[at : at + n]):
+                pass
+            most = max(most, k)
+            at += most - k + 1
+        best = max(best, 100.0 * most / n)
+    return best
 
 
 def _pairwise(function):

@@ -66,27 +66,86 @@ def best_match(events: DataFrame, candidates: DataFrame) -> DataFrame:
     return events.join(best.select("event_id", "listing_id", "score", "used_venue"), "event_id", "left").withColumn("verdict", verdict)
 
 
+def _terms(keys: DataFrame, others: DataFrame, pieces: Column) -> DataFrame:
+    """keys(key) with its distinct pieces, the corpus's rarest first: ranked, an array of (n, term)."""
+    parts = lambda df: df.select("key", F.explode(pieces).alias("term"))
+    counts = parts(keys.union(others)).groupBy("term").agg(F.count("*").alias("n"))
+    return parts(keys).join(counts, "term").groupBy("key").agg(F.sort_array(F.collect_list(F.struct("n", "term"))).alias("ranked"))
+
+
+def pieces_of(column: str) -> Column:
+    """The distinct two-letter pieces of a key's words, a space on either side of each."""
+    return F.expr(f"array_distinct(flatten(transform(split({column}, ' '), w -> transform(sequence(1, length(w) + 1), i -> substring(concat(' ', w, ' '), i, 2)))))")
+
+
+def near_names(asked: DataFrame, known: DataFrame, *, least: float = TAKEN) -> DataFrame:
+    """Pairs (key, candidate) of asked(key) and known(key), among them all whose set or sort likeness reaches `least`.
+
+    Likeness c = least / 200 of texts of m and n letters asks for c(m + n) letters in common, in order. The others, m - L
+    and n - L, spoil at most 2(m - L) + (n - L) <= (2 - 3c)m + (1 - 3c)n of the two-letter pieces of the first, words
+    with a space on either side. So the rarest piece in common is no later than this among the rarest pieces of each,
+    and only these are indexed; where it stands, the lengths and how many pieces are shared are asked of a pair too. Words that are the
+    greater part of one side's letters make it alike whatever else the other has: the rarest words of a side, up to one
+    beyond the letters that it may lose, are looked for among all words of the other.
+    """
+    c, words, pieces = least / 200, F.array_distinct(F.split("key", " ")), pieces_of("key")
+    spare = lambda m, n: (2 - 3 * c) * m + (1 - 3 * c) * n + 1e-9
+    sizes = {"m": F.length("key"), "d": F.length(F.array_join(words, " "))}
+    asked, known = asked.select("key").distinct(), known.select("key").distinct()
+
+    def indexed(keys: DataFrame, others: DataFrame, p: str) -> DataFrame:
+        first = F.floor(spare(F.col("m"), F.col("m") * c / (1 - c))).cast("int") + 1
+        rows = _terms(keys, others, pieces).withColumns(sizes).withColumn("all", F.col("ranked.term"))
+        return rows.select(*(F.col(k).alias(f"{p}_{k}") for k in ("key", "m", "d", "all")), F.posexplode(F.slice("ranked.term", 1, first)).alias(f"{p}_at", "term"))
+
+    def reached(size: str) -> Column:
+        m, n = F.col(f"a_{size}"), F.col(f"b_{size}")
+        shared = F.size(F.array_intersect("a_all", "b_all"))
+        enough = (shared >= F.size("a_all") - spare(m, n)) & (shared >= F.size("b_all") - spare(n, m))
+        return (F.least(m, n) + 1e-9 >= c * (m + n)) & (F.col("a_at") <= spare(m, n)) & (F.col("b_at") <= spare(n, m)) & enough
+
+    pair = [F.col("a_key").alias("key"), F.col("b_key").alias("candidate")]
+    by_pieces = indexed(asked, known, "a").join(indexed(known, asked, "b"), "term").filter(reached("m") | reached("d")).select(*pair)
+
+    def rarest(keys: DataFrame, others: DataFrame, p: str) -> DataFrame:
+        rows = _terms(keys, others, words).withColumns(sizes).select("key", "d", "ranked", F.posexplode("ranked").alias("at", "t"))
+        before = F.aggregate(F.slice("ranked", 1, F.col("at")), F.lit(0), lambda n, x: n + F.length(x["term"]) + 1)
+        return rows.filter(before <= F.col("d") * (1 - c / (1 - c)) + 1e-9).select(F.col("key").alias(f"{p}_key"), F.col("t.term").alias("term"))
+
+    all_words = lambda keys, p: keys.select(F.col("key").alias(f"{p}_key"), F.explode(words).alias("term"))
+    by_words = rarest(asked, known, "a").join(all_words(known, "b"), "term").select(*pair)
+    by_words = by_words.union(all_words(asked, "a").join(rarest(known, asked, "b"), "term").select(*pair))
+    return by_pieces.union(by_words).distinct()
+
+
 def resolve_names(names: DataFrame, directory: DataFrame) -> DataFrame:
     """names(name) with entry_id, entry_name, confidence from directory(entry_id, entry_name).
 
     An equal key is taken at 100, or at TAKEN if several entries have it (the lowest id is given). Other names get
-    the entry whose tokens fit best, if the mean of set and sort likeness reaches TAKEN. Candidates share two
-    neighbouring letters with the name; pairs that share none can't reach it, as more than 0.84 of the letters of
-    both would have to follow each other with at most 0.32 of them left out between.
+    the entry whose tokens fit best, if the mean of set and sort likeness reaches TAKEN; then one of both does, so
+    `near_names` has the pair, and every pair of a better set likeness if the entry's own reaches TAKEN. The few names
+    for which it doesn't, but the mean does, meet all entries that share a piece with them, as a better one must.
+    A name below TAKEN has no entry and the confidence of the best pair seen, 0 if none was.
     """
     keyed = directory.withColumn("key", F.coalesce(T.nz(T.norm_venue("entry_name")), F.lower("entry_name")))
     entries = keyed.groupBy("key").agg(F.min_by(F.struct("entry_id", "entry_name"), "entry_id").alias("e"), F.count("*").alias("n"))
     asked = names.select("name").distinct().withColumn("key", T.norm_venue("name"))
     exact = asked.filter("key <> ''").join(entries, "key").select("name", "e.entry_id", "e.entry_name", F.when(F.col("n") == 1, 100.0).otherwise(TAKEN).alias("confidence"))
     rest = asked.filter("key <> ''").join(entries.select("key"), "key", "left_anti")
-    pieces = F.expr("array_distinct(transform(sequence(1, greatest(length(key) - 1, 1)), i -> substring(key, i, 2)))")
-    letters = lambda df: df.withColumn("letters", F.explode(pieces))
-    pairs = letters(rest).join(letters(entries.select("key", "e")).withColumnRenamed("key", "candidate"), "letters").select("name", "key", "candidate", "e").distinct()
-    pairs = pairs.withColumns({"s": token_set_udf("key", "candidate"), "o": token_sort_udf("key", "candidate")})
-    first = Window.partitionBy("name").orderBy(F.desc("s"), "e.entry_id")
-    best = pairs.withColumn("r", F.row_number().over(first)).filter("r = 1").withColumn("confidence", (F.col("s") + F.col("o")) / 2)
+    rest, known = cut_lineage(rest), cut_lineage(entries.select(F.col("key").alias("candidate"), "e"))
+
+    def best(pairs: DataFrame) -> DataFrame:
+        scores = pairs.withColumns({"s": token_set_udf("key", "candidate"), "o": token_sort_udf("key", "candidate")})
+        place = F.struct(-F.col("s"), F.col("e.entry_id"))
+        top = scores.join(known, "candidate").groupBy("key").agg(F.min_by(F.struct("s", "o", "e"), place).alias("top"))
+        return top.select("key", "top.*").withColumn("confidence", (F.col("s") + F.col("o")) / 2)
+
+    found = cut_lineage(best(near_names(rest, known.select(F.col("candidate").alias("key")))))
+    open_ = (F.col("confidence") >= TAKEN) & (F.col("s") < TAKEN)
+    wider = found.filter(open_).select("key", F.explode(pieces_of("key")).alias("term")).join(known.select("candidate", F.explode(pieces_of("candidate")).alias("term")), "term").select("key", "candidate").distinct()
+    fits = found.filter(~open_).union(best(wider))
     taken = F.col("confidence") >= TAKEN
-    fuzzy = best.select("name", F.when(taken, F.col("e.entry_id")).alias("entry_id"), F.when(taken, F.col("e.entry_name")).alias("entry_name"), "confidence")
+    fuzzy = rest.join(fits, "key").select("name", F.when(taken, F.col("e.entry_id")).alias("entry_id"), F.when(taken, F.col("e.entry_name")).alias("entry_name"), "confidence")
     return names.join(exact.union(fuzzy), "name", "left").fillna({"confidence": 0.0})
 
 
