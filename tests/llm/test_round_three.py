@@ -221,6 +221,21 @@ def test_toxicity(spark):
     assert len(awkward) == len(awkward_rows()) and all(0 <= r["score"] < 0.5 for r in awkward if r["doc_id"] in (0, 7, 14))
 
 
+def test_toxicity_learns_from_all_rows(spark):
+    """Each word is in eight rows of one label, too few for any sample of some thousands; the languages come from counts of all rows too."""
+    r = random.Random(21)
+    words = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9)) for _ in range(3_000)]
+    rows = [(i, f"the {words[i % 3_000]} of", "en", None, None) for i in range(24_000)]
+    marks = spark.createDataFrame([(i, 1, i % 3_000 % 2) for i in range(24_000)], "doc_id long, quality int, toxic int")
+    docs = frame(spark, rows)
+    model = toxicity.fit(docs, marks)
+    got = toxicity.score_documents(docs, marks, model).filter("held_out").collect()
+    assert sum(x["predicted"] == x["doc_id"] % 2 for x in got) / len(got) > 0.97
+    # the same model from rows in another order
+    again = toxicity.fit(docs.repartition(7), marks.repartition(3))
+    assert (again["net"].numbers == model["net"].numbers).all() and again["all"] == model["all"]
+
+
 def test_toxicity_without_labels(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     docs = frame(spark, [(1, "a b", "en", None, None), (None, None, None, None, None)])

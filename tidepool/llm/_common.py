@@ -32,10 +32,10 @@ def shared_dir(spark: SparkSession) -> str:
     return where
 
 
-def materialise(df: DataFrame, compression: str = "snappy") -> DataFrame:
+def materialise(df: DataFrame, compression: str = "snappy", **options) -> DataFrame:
     """Write df to the shared folder and read it back: its lineage ends there, and lost executors lose nothing of it."""
     path = f"{shared_dir(df.sparkSession)}/{uuid.uuid4().hex}"
-    df.write.option("compression", compression).parquet(path)
+    df.write.options(compression=compression, **options).parquet(path)
     df.sparkSession.sparkContext._jvm.System.gc()  # lets Spark delete the shuffle files behind the table
     stored = df.sparkSession.read.schema(df.schema).parquet(path)
     stored.stored_at = path
