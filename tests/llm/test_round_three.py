@@ -185,6 +185,17 @@ def test_brackets_hold():
     assert (high < tenth[:, None]).mean() > 0.5
 
 
+def test_alignment_composes_portions(spark):
+    """Portions of chunks are composed and stored one after the other: the result holds no shuffle, and all rows."""
+    rows = [(i, f"words of row {i} and of row {i % 7}", "en", None, None) for i in range(300)]
+    whole = frame(spark, rows).repartition(8)
+    got = token_alignment.align_tokens(whole)
+    assert "CoGroups" not in got._jdf.queryExecution().toString()
+    assert sorted(r["doc_id"] for r in got.collect()) == list(range(300))
+    one = token_alignment.align_tokens(frame(spark, rows).coalesce(1))
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, got.collect()))
+
+
 def toxic_rows(n=500):
     """Plain texts in two languages; every fourth holds words of a small set, or others with the same beginning."""
     r = random.Random(12)

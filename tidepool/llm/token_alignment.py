@@ -9,7 +9,8 @@ tokens are its segments' tokens end to end, and each segment border is a border
    uses and each document as numbers of segments. The table is stored, so chunks stay as they are when tasks rerun.
 2. Segments are made distinct over the corpus, tokenised and aligned once.
 3. How often an id pair is linked is summed over distinct segments times uses; each B id's highest count follows.
-4. Each segment's sums of these counts go back to the chunks that use it, and documents are composed chunk by chunk.
+4. Each segment's sums of these counts go back to the chunks that use it, and documents are composed chunk by chunk,
+   one half of the chunks after the other, so that no more than about half of these rows is in a shuffle at a time.
    A group of m and n tokens, which share no inner border, has m + n - 1 links, so the groups' text tells the rest.
 
 A chunk holds CHUNK_BYTES or one longer document, so no task holds more than that and its segments' alignments; a
@@ -26,6 +27,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from functools import reduce
 from itertools import islice
 
 import numpy as np
@@ -40,6 +42,8 @@ from .token_counts import byte_letters
 
 #: Bytes of text in a chunk; a longer document is a chunk of its own.
 CHUNK_BYTES = 16 << 20
+#: Portions of the chunks that are composed one after the other.
+PORTIONS = 2
 #: Linked id pairs whose counts a task may hold as arrays (20 bytes each); beyond it they are joined by a shuffle.
 PAIRS_HELD = 4_000_000
 #: Segments that are tokenised together, in number and characters.
@@ -325,9 +329,12 @@ def align_tokens(
     numbers = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
 
     def compose(rows: pa.Table, segments: pa.Table) -> pa.Table:
-        segments = segments.sort_by("number")
+        segments = segments.select(["number", "groups", *numbers[4:]]).sort_by("number")
         groups = segments.column("groups").to_pylist()
-        table = np.vstack([group_sizes(groups), *(segments.column(k).to_numpy().astype(np.int64)[None, :] for k in numbers[4:])])
+        # some at a time, as this takes tens of bytes per byte of the groups' text
+        sizes = np.concatenate([group_sizes(groups[k : k + 20_000]) for k in range(0, max(len(groups), 1), 20_000)], axis=1)
+        table = np.vstack([sizes, *(segments.column(k).to_numpy().astype(np.int64)[None, :] for k in numbers[4:])])
+        del segments
         sums, texts = [], []
         for raw in rows.column("at").to_pylist():
             at = unpacked(raw)
@@ -335,9 +342,15 @@ def align_tokens(
             text = ";".join(map(groups.__getitem__, at.tolist()))
             texts.append(hashlib.sha256(text.encode()).hexdigest() if digests and text else text)
         sums = np.array(sums, np.int64).reshape(-1, len(numbers))
+        pa.default_memory_pool().release_unused()
         return pa.table([rows.column("id"), *(pa.array(sums[:, k]) for k in range(len(numbers))), pa.array(texts, pa.string())], names=[id_col, *numbers, last])
 
     last = "groups_sha256" if digests else "groups"
     id_type = docs.schema[id_col].dataType.simpleString()
     schema = f"`{id_col}` {id_type}, " + ", ".join(f"{k} long" for k in numbers) + f", {last} string"
-    return documents.groupBy("chunk").cogroup(used.groupBy("in_chunk")).applyInArrow(compose, schema)
+    portions = []
+    for k in range(PORTIONS):  # a chunk's number counts tasks in steps of 1 << 32, so the remainders take turns
+        mine, own = (df.filter(F.pmod(c, F.lit(PORTIONS)) == k).groupBy(c) for df, c in ((documents, "chunk"), (used, "in_chunk")))
+        portions.append(materialise(mine.cogroup(own).applyInArrow(compose, schema), "zstd"))
+    discard(stored, used)
+    return reduce(DataFrame.unionAll, portions)
