@@ -30,3 +30,8 @@ def test_page_text_of_cut_pages(spark, tmp_path):
     assert len(equals_sql(spark, tmp_path, "page_text")) == 12
     row = spark.createDataFrame([("<i>&amp;amp &amp &copy 1 &amp</i>",)], "t string").select(T.visible_text("t").alias("a"), T.visible_text("t", closed=True).alias("b")).first()
     assert (row.a, row.b) == ("&amp & © 1 &", "&amp &amp &copy 1 &amp")
+
+
+def test_model_answers_of_cut_pages(spark, tmp_path):
+    cut_pages(spark, tmp_path)
+    assert {r[2] for r in equals_sql(spark, tmp_path, "model_answers")} == {"ok", "refused", "unavailable", "malformed"}
