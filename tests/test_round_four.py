@@ -35,3 +35,8 @@ def test_page_text_of_cut_pages(spark, tmp_path):
 def test_model_answers_of_cut_pages(spark, tmp_path):
     cut_pages(spark, tmp_path)
     assert {r[2] for r in equals_sql(spark, tmp_path, "model_answers")} == {"ok", "refused", "unavailable", "malformed"}
+
+
+def test_model_events_of_cut_pages(spark, tmp_path):
+    cut_pages(spark, tmp_path)
+    assert equals_sql(spark, tmp_path, "model_events")
