@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions import dates as D
 from ..functions import text as T
+from ..functions.similarity import blended
 from .chains import cut_lineage, refused_in_order
-from .matching import SAME, SAME_BY_TITLE, overlap_join, scored
+from .matching import RUN, SAME, SAME_BY_TITLE, alike_runs, distinct_runs, overlap_join, scored, with_run
 from .productions import HEADERS, inherit_full_rows, problems
 
 
@@ -55,19 +56,27 @@ def calendar_duplicates(rows: DataFrame, calendar: DataFrame) -> DataFrame:
     return rows.join(best.filter(F.col("b.score") >= bar).select("row_id", F.col("b.listing_id").alias("duplicate_of")), "row_id", "left")
 
 
+def _bar(used_venue: Column) -> Column:
+    return F.when(used_venue, SAME).otherwise(SAME_BY_TITLE)
+
+
 def upload_duplicates(rows: DataFrame) -> DataFrame:
     """rows(row_id, title, venue, start_date, end_date) with repeats: the earlier accepted row of the upload that a row repeats.
 
     Rows are taken in order of row_id; one that is alike an accepted row before it repeats the likest of these (the
-    first of equal ones) and is not accepted itself, so outcomes depend on each other. Pairs on the same days are
-    scored once; who is accepted is settled in rounds of joins, all rows at a time.
+    first of equal ones) and is not accepted itself, so outcomes depend on each other. Of equal rows only the first
+    can be accepted, and it stands for all of them; pairs of these are scored once, and who is accepted is settled in
+    rounds of joins. A row behind its first may repeat a row between the two, so each looks for its own.
     """
-    side = lambda k: rows.select(F.col("row_id").alias(f"row_{k}"), F.col("title").alias(f"title_{k}"), F.col("venue").alias(f"venue_{k}"), F.col("start_date").alias("l_start" if k == "a" else "r_start"), F.col("end_date").alias("l_end" if k == "a" else "r_end"))
-    pairs = scored(overlap_join(side("a").filter("l_start is not null"), side("b").filter("r_start is not null")).filter("row_b < row_a"))
-    alike = cut_lineage(pairs.filter(F.col("score") >= F.when(F.col("used_venue"), SAME).otherwise(SAME_BY_TITLE)).select("row_a", "row_b", "score"))
-    refused = refused_in_order(alike.select(F.col("row_a").alias("later"), F.col("row_b").alias("earlier")))
-    accepted = alike.join(refused.withColumnRenamed("node", "row_b"), "row_b", "left_anti")
-    best = accepted.groupBy(F.col("row_a").alias("row_id")).agg(F.max_by("row_b", F.struct("score", -F.col("row_b"))).alias("repeats"))
+    firsts = distinct_runs(rows, "row_id")
+    pairs = alike_runs(firsts, firsts).filter("b_id < a_id").filter(F.col("score") >= _bar(F.col("used_venue")))
+    alike = cut_lineage(pairs.select("a_id", "b_id", "score"))
+    refused = refused_in_order(alike.select(F.col("a_id").alias("later"), F.col("b_id").alias("earlier")))
+    itself = blended(F.lit(100.0), F.when(F.col("_v") != "", F.lit(100.0))).alias("score")
+    both = alike.union(alike.select("b_id", "a_id", "score")).union(firsts.select("id", "id", itself)).toDF("id", "earlier", "score")
+    accepted = both.join(refused.withColumnRenamed("node", "earlier"), "earlier", "left_anti")
+    own = with_run(rows.select("row_id", "title", "venue", "start_date", "end_date")).join(firsts, RUN).select("row_id", "id")
+    best = own.join(accepted, "id").filter("earlier < row_id").groupBy("row_id").agg(F.max_by("earlier", F.struct("score", -F.col("earlier"))).alias("repeats"))
     return rows.join(best, "row_id", "left")
 
 

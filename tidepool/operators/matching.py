@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..functions.similarity import blended, token_set, token_set_udf, token_sort_udf
+from ..functions.similarity import TITLE_SHARE, blended, token_set, token_set_udf, token_sort_udf
 from .chains import cut_lineage
 
 #: Scores from which a pair is the same event, needs a look, or is the same although a venue is missing.
@@ -118,6 +118,40 @@ def near_names(asked: DataFrame, known: DataFrame, *, least: float = TAKEN) -> D
     return by_pieces.union(by_words).distinct()
 
 
+#: What a run's score with another depends on: its title's and venue's keys, its first and last day.
+RUN = ["_t", "_v", "_s", "_e"]
+
+
+def with_run(rows: DataFrame) -> DataFrame:
+    """rows(title, venue, start_date, end_date, ...) with RUN."""
+    end = F.greatest(F.coalesce("end_date", "start_date"), "start_date")
+    return rows.withColumns({"_t": T.norm_title("title"), "_v": T.norm_venue("venue"), "_s": F.col("start_date"), "_e": end})
+
+
+def distinct_runs(rows: DataFrame, id_col: str) -> DataFrame:
+    """RUN and id, the smallest of the rows that are equal there, stored; rows without a day or a title can't be alike and go."""
+    texts = rows.groupBy("title", "venue", "start_date", "end_date").agg(F.min(id_col).alias("id"))
+    return cut_lineage(with_run(texts).filter("_s is not null and _t <> ''").groupBy(*RUN).agg(F.min("id").alias("id")))
+
+
+def alike_runs(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Pairs of two distinct_runs on the same days that score SAME or more: a_id, a_t to a_e, b_id, b_t to b_e, score, used_venue.
+
+    Whatever the venues are, titles of such a pair are alike too. So distinct titles meet first, by their pieces, and
+    runs by day and title: pairs of other titles are never made.
+    """
+    least = (SAME - 100 * (1 - TITLE_SHARE)) / TITLE_SHARE - 1e-6
+    titles = lambda runs: cut_lineage(runs.select(F.col("_t").alias("key")).distinct())
+    near = near_names(titles(left), titles(right), least=least).withColumn("_score", token_set_udf("key", "candidate"))
+    near = cut_lineage(near).filter(F.col("_score") >= least).select(F.col("key").alias("a_t"), F.col("candidate").alias("b_t"), "_score")
+    side = lambda runs, p, q: runs.select(*(F.col(c).alias(f"{p}{c}" if c in RUN else f"{p}_{c}") for c in runs.columns), F.col("_s").alias(f"{q}_start"), F.col("_e").alias(f"{q}_end"))
+    pairs = overlap_join(side(left, "a", "l").join(near, "a_t"), side(right, "b", "r"), on=["b_t"])
+    both = (F.col("a_v") != "") & (F.col("b_v") != "")
+    pairs = pairs.withColumn("used_venue", both).withColumn("_venues", token_set_udf(F.when(both, F.col("a_v")), F.when(both, F.col("b_v"))))
+    pairs = pairs.withColumn("score", blended(F.col("_score"), F.when(both, F.col("_venues")))).filter(F.col("score") >= SAME)
+    return pairs.drop("_score", "_venues", "l_start", "l_end", "r_start", "r_end")
+
+
 def resolve_names(names: DataFrame, directory: DataFrame) -> DataFrame:
     """names(name) with entry_id, entry_name, confidence from directory(entry_id, entry_name).
 
