@@ -58,6 +58,8 @@ def test_many_equal_rows(spark):
     rows = spark.range(8_000).select(F.col("id").alias("row_id"), F.lit("The Hot Ring").alias("title"), F.lit("Hall").alias("venue"), F.lit(DAY).alias("start_date"), F.lit(None).cast("date").alias("end_date"))
     began = time.perf_counter()
     assert [tuple(r) for r in ingest.upload_duplicates(rows).groupBy("repeats").count().orderBy("repeats").collect()] == [(None, 1), (0, 7_999)]
+    found = ingest.calendar_duplicates(rows, rows.withColumn("listing_id", F.col("row_id") + 5).drop("row_id"))
+    assert [tuple(r) for r in found.groupBy("duplicate_of").count().collect()] == [(5, 8_000)]
     assert time.perf_counter() - began < 90
 
 
@@ -88,3 +90,10 @@ def test_equal_and_alike_rows_in_order(spark):
     df = spark.createDataFrame(rows, RUNS)
     assert {r.row_id: r.repeats for r in ingest.upload_duplicates(df).collect()} == want
     assert len(accepted) > 50 and sum(v is not None for v in want.values()) > 50
+    listings = rows[250:] + [(-7, *rows[300][1:])]
+    listed = {}
+    for row in rows[:250]:
+        met = [(x[0], -r[0], x[1]) for r in listings if (x := likeness(row, r))]
+        listed[row[0]] = -max(met)[1] if met and max(met)[2] else None
+    calendar = spark.createDataFrame(listings, RUNS).withColumnRenamed("row_id", "listing_id")
+    assert {r.row_id: r.duplicate_of for r in ingest.calendar_duplicates(df.filter("row_id < 250"), calendar).collect()} == listed

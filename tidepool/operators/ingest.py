@@ -9,7 +9,7 @@ from ..functions import dates as D
 from ..functions import text as T
 from ..functions.similarity import blended
 from .chains import cut_lineage, refused_in_order
-from .matching import RUN, SAME, SAME_BY_TITLE, alike_runs, distinct_runs, overlap_join, scored, with_run
+from .matching import RUN, SAME, SAME_BY_TITLE, alike_runs, distinct_runs, with_run
 from .productions import HEADERS, inherit_full_rows, problems
 
 
@@ -47,13 +47,15 @@ def checked_rows(upload: DataFrame) -> DataFrame:
 
 
 def calendar_duplicates(rows: DataFrame, calendar: DataFrame) -> DataFrame:
-    """rows(row_id, title, venue, start_date, end_date) with duplicate_of: the best listing(listing_id, ...) on the same days that is alike enough."""
-    a = rows.select("row_id", F.col("title").alias("title_a"), F.col("venue").alias("venue_a"), F.col("start_date").alias("l_start"), F.col("end_date").alias("l_end"))
-    b = calendar.select("listing_id", F.col("title").alias("title_b"), F.col("venue").alias("venue_b"), F.col("start_date").alias("r_start"), F.col("end_date").alias("r_end"))
-    pairs = scored(overlap_join(a.filter("l_start is not null"), b.filter("r_start is not null")))
-    best = pairs.groupBy("row_id").agg(F.max_by(F.struct("listing_id", "score", "used_venue"), F.struct("score", (-F.col("listing_id")).alias("first"))).alias("b"))
-    bar = F.when(F.col("b.used_venue"), SAME).otherwise(SAME_BY_TITLE)
-    return rows.join(best.filter(F.col("b.score") >= bar).select("row_id", F.col("b.listing_id").alias("duplicate_of")), "row_id", "left")
+    """rows(row_id, title, venue, start_date, end_date) with duplicate_of: the best listing(listing_id, ...) on the same days that is alike enough.
+
+    Equal listings are one, of the smallest id, and equal rows are looked up once.
+    """
+    pairs = alike_runs(distinct_runs(rows, "row_id"), distinct_runs(calendar, "listing_id"))
+    runs = [f"a{c}" for c in RUN]
+    best = pairs.groupBy(*runs).agg(F.max_by(F.struct("b_id", "score", "used_venue"), F.struct("score", (-F.col("b_id")).alias("first"))).alias("b"))
+    found = best.filter(F.col("b.score") >= _bar(F.col("b.used_venue"))).select(*(F.col(f"a{c}").alias(c) for c in RUN), F.col("b.b_id").alias("duplicate_of"))
+    return with_run(rows).join(found, RUN, "left").select(*(c for c in rows.columns), "duplicate_of")
 
 
 def _bar(used_venue: Column) -> Column:
