@@ -7,10 +7,12 @@ Each row's distances to PIVOTS pivots are stored. For any pivot p the triangle i
 can't reach what is already found, or can't meet a wanted range of scores, are dropped; all others are checked exactly.
 
 1. Pivots are chosen, each far from those before, from SAMPLE rows; every row is indexed.
-2. Rows are dealt by a hash of their id over groups of about GROUP_ROWS, sorted by nearest pivot and packed into blocks
-   of BLOCK_ROWS with close distances, so that a block's range of distances drops it for an anchor as a whole.
-3. Anchors, packed too, go to every group. A task holds one block of each kind and the best found so far, never a
-   group; equal vectors, however many, fill blocks like others.
+2. Rows are dealt over groups, sorted by nearest pivot and packed into blocks of BLOCK_ROWS with close distances, so
+   that a block's range of distances drops it for an anchor as a whole. Equal vectors fill blocks like others.
+3. Blocks of rows and of anchors meet as parts: a task reads one part of each (about PART_ROWS rows and PART_ANCHORS
+   anchors at most), so no anchors are copied per group, sent to the driver or broadcast, and an anchor has as many
+   intermediate results as there are parts of rows. A task holds one block of rows, its part of the anchors and the
+   best found so far.
 4. First the best rows of the same label, then, within the ranges that these set, the best of other labels; tasks
    keep the best per anchor and a window takes the best of these.
 
@@ -35,8 +37,8 @@ PIVOTS = 12
 #: Bound of the rows that pivots are chosen from.
 SAMPLE = 2_000
 GROUP_ROWS, BLOCK_ROWS, BLOCK_ANCHORS = 100_000, 2_048, 256
-#: Anchor blocks whose best rows a task remembers at a time.
-REMEMBERED = 16
+#: Bounds of the rows and anchors that a task of the search reads; the fewest anchors that make a part of their own.
+PART_ROWS, PART_ANCHORS, LEAST_ANCHORS = 1_000_000, 4_096, 16
 #: Bound of rounding errors of brackets, as a share of the squared lengths.
 SLACK = 1e-9
 LONG = np.iinfo(np.int64)
@@ -182,20 +184,18 @@ NOTHING = (np.empty(0), np.empty(0, np.int64))
 BLOCK = "n int, ids binary, labels binary, vecs binary, away binary"
 
 
-def _pack(rows: DataFrame, n: int, group: str | None, extra: tuple[str, ...] = ()) -> DataFrame:
-    """Successive rows of a partition (and of a group) as blocks of up to n; extra columns become lists."""
+def _pack(rows: DataFrame, n: int, extra: tuple[str, ...] = ()) -> DataFrame:
+    """Successive rows of a partition as blocks of up to n; extra columns become lists."""
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
-    first = [group] if group else []
 
     def run(batches):
         held: list[pa.RecordBatch] = []
-        names = [*first, "n", "ids", "labels", "vecs", "away", *extra]
+        names = ["n", "ids", "labels", "vecs", "away", *extra]
 
         def block():
             t = pa.Table.from_batches(held)
             vec = np.frombuffer(b"".join(t.column("vec").to_pylist()), np.float64).reshape(t.num_rows, -1)
             values = [
-                *([t.column(group)[0].as_py()] if group else []),
                 t.num_rows,
                 t.column("vec_id").to_numpy().astype(np.int64).tobytes(),
                 t.column("label").to_numpy().astype(np.int64).tobytes(),
@@ -206,49 +206,55 @@ def _pack(rows: DataFrame, n: int, group: str | None, extra: tuple[str, ...] = (
             held.clear()
             return pa.RecordBatch.from_pylist([dict(zip(names, values))], schema=kind)
 
-        arrow = {"int": pa.int32(), "bigint": pa.int64()}
         kind = None
         for batch in batches:
             if kind is None:
                 lists = [pa.field(k, pa.list_(batch.schema.field(k).type)) for k in extra]
-                kind = pa.schema([*((group, arrow[kinds[group]]) for _ in first), ("n", pa.int32()), *((k, pa.binary()) for k in ("ids", "labels", "vecs", "away")), *lists])
-            keys = batch.column(group).to_numpy() if group else np.zeros(batch.num_rows, np.int8)
-            cuts = [0, *(np.flatnonzero(np.diff(keys)) + 1).tolist(), batch.num_rows] if batch.num_rows else []
-            for start, end in zip(cuts, cuts[1:]):
-                if group and held and held[0].column(group)[0].as_py() != keys[start]:
+                kind = pa.schema([("n", pa.int32()), *((k, pa.binary()) for k in ("ids", "labels", "vecs", "away")), *lists])
+            start = 0
+            while start < batch.num_rows:
+                step = min(batch.num_rows - start, n - sum(b.num_rows for b in held))
+                held.append(batch.slice(start, step))
+                start += step
+                if sum(b.num_rows for b in held) == n:
                     yield block()
-                while start < end:
-                    step = min(end - start, n - sum(b.num_rows for b in held))
-                    held.append(batch.slice(start, step))
-                    start += step
-                    if sum(b.num_rows for b in held) == n:
-                        yield block()
         if held:
             yield block()
 
-    schema = ", ".join([*(f"{k} {kinds[k]}" for k in first), BLOCK, *(f"{k} array<{kinds[k]}>" for k in extra)])
-    return map_batches(rows, run, schema)
+    return map_batches(rows, run, ", ".join([BLOCK, *(f"{k} array<{kinds[k]}>" for k in extra)]))
 
 
-def _pairs_of_blocks(anchors: DataFrame, rows: DataFrame, groups: int) -> DataFrame:
-    """Every block of anchors beside every block of rows, joined by the group of the rows."""
-    asked = anchors.select(*(F.col(k).alias(f"q_{k}") for k in anchors.columns), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("grp"))
-    return asked.join(rows, "grp")
+def _packed_anchors(anchors: DataFrame, n: int, row_parts: int, extra: tuple[str, ...] = ("keys",)) -> DataFrame:
+    """n anchors as blocks, in as many parts as bounds ask for, or more where the tasks would be too few for the cores."""
+    spread = -(-3 * anchors.sparkSession.sparkContext.defaultParallelism // row_parts)
+    parts = max(1, -(-n // PART_ANCHORS), min(spread, -(-n // LEAST_ANCHORS)))
+    return _pack(anchors.repartition(parts).sortWithinPartitions("cell", "close", "vec_id"), BLOCK_ANCHORS, extra)
+
+
+def _pairs_of_blocks(anchors: DataFrame, rows: DataFrame, row_parts: int) -> DataFrame:
+    """Every block of anchors beside every block of rows, a task per pair of parts.
+
+    The hint has both sides read where the tasks run: without it Spark would take the anchors for small, as their
+    blocks are larger than they look to it, and send them all through the driver.
+    """
+    asked = anchors.select(*(F.col(k).alias(f"q_{k}") for k in anchors.columns))
+    return rows.coalesce(row_parts).crossJoin(asked.hint("shuffle_replicate_nl"))
 
 
 def _search(pairs: DataFrame, longest: float, start, update, schema: str) -> DataFrame:
     """Run update(state, anchors, rows) over pairs of blocks; start(record, anchors) makes a state, whose rows() go out."""
 
     def run(batches):
-        states: dict[bytes, tuple] = {}
+        states: dict[int, _Positives | _Negatives] = {}
+        ids = vecs = rows = None
         for batch in batches:
             for record in batch.to_pylist():
                 key = record["q_keys"][0]
                 if key not in states:
-                    if len(states) == REMEMBERED:
-                        yield from states.pop(next(iter(states))).rows()
                     states[key] = start(record, Block(*(record[f"q_{k}"] for k in ("n", "ids", "labels", "vecs", "away"))))
-                update(states[key], Block(*(record[k] for k in ("n", "ids", "labels", "vecs", "away"))), longest)
+                if record["ids"] != ids or record["vecs"] != vecs:  # a block of rows meets all anchors of a part in turn
+                    ids, vecs, rows = record["ids"], record["vecs"], Block(*(record[k] for k in ("n", "ids", "labels", "vecs", "away")))
+                update(states[key], rows, longest)
         for state in states.values():
             yield from state.rows()
 
@@ -328,7 +334,8 @@ def mine_hard_negatives(
     n, size, longest = about["n"], about["size"] or 0, float(about["longest"] or 0.0)
     sample = taken.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("vec").toArrow()
     pivots = choose_pivots(vectors(sample.column(0).combine_chunks(), size)) if sample.num_rows else np.zeros((1, size))
-    groups = max(n_partitions(spark), -(-n // GROUP_ROWS))
+    groups = max(1, min(n_partitions(spark), -(-n // BLOCK_ROWS)), -(-n // GROUP_ROWS))
+    row_parts = max(1, -(-n // PART_ROWS))
 
     def measure(batches):
         for batch in batches:
@@ -340,9 +347,8 @@ def mine_hard_negatives(
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), packed(vec), packed(away), packed(q_away), close, pa.array(away.min(axis=1))], ["vec_id", "label", "vec", "away", "q_away", "cell", "close"])
 
     measured = map_batches(taken, measure, "vec_id long, label long, vec binary, away binary, q_away binary, cell int, close double")
-    by_group = measured.drop("q_away").withColumn("grp", F.pmod(F.xxhash64("vec_id"), F.lit(groups)).cast("int"))
-    by_group = by_group.repartition(groups, "grp").sortWithinPartitions("grp", "cell", "close", "vec_id")
-    blocks = materialise(_pack(by_group, BLOCK_ROWS, "grp"))
+    dealt = measured.drop("q_away").repartition(groups).sortWithinPartitions("cell", "close", "vec_id")
+    blocks = materialise(_pack(dealt, BLOCK_ROWS))
 
     asked = measured.filter(is_anchor).select("vec_id", "label", "vec", F.col("q_away").alias("away"), "cell", "close")
 
@@ -353,18 +359,19 @@ def mine_hard_negatives(
             key += batch.num_rows
 
     anchors = materialise(map_batches(asked, number, "vec_id long, label long, vec binary, away binary, cell int, close double, keys long"))
-    packed = _pack(anchors.sortWithinPartitions("cell", "close", "vec_id"), BLOCK_ANCHORS, None, ("keys",))
+    n_anchors = anchors.count()
+    packed = _packed_anchors(anchors, n_anchors, row_parts)
 
-    positives = _search(_pairs_of_blocks(packed, blocks, groups), longest, lambda r, a: _Positives(r, a, n_positives), _Positives.add, "key long, vec_id long, score long")
+    positives = _search(_pairs_of_blocks(packed, blocks, row_parts), longest, lambda r, a: _Positives(r, a, n_positives), _Positives.add, "key long, vec_id long, score long")
     place = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("score"), "vec_id"))
     positives = positives.withColumn("place", place).filter(F.col("place") <= n_positives)
     positives = materialise(positives)
 
     per_anchor = positives.groupBy(F.col("key").alias("keys")).agg(F.sort_array(F.collect_set("score")).alias("positives"))
-    with_ranges = anchors.join(per_anchor, "keys")
-    packed = _pack(with_ranges.sortWithinPartitions("cell", "close", "vec_id"), BLOCK_ANCHORS, None, ("keys", "positives"))
+    with_ranges = anchors.join(per_anchor.hint("merge"), "keys")  # vectors are larger than they look to Spark here too
+    with_positives = _packed_anchors(with_ranges, n_anchors, row_parts, ("keys", "positives"))
     kinds = "key long, positive_score long, negative_id long, negative_score long"
-    negatives = _search(_pairs_of_blocks(packed, blocks, groups), longest, lambda r, a: _Negatives(r, a, n_negatives, percents), _Negatives.add, kinds)
+    negatives = _search(_pairs_of_blocks(with_positives, blocks, row_parts), longest, lambda r, a: _Negatives(r, a, n_negatives, percents), _Negatives.add, kinds)
     rank = F.row_number().over(Window.partitionBy("key", "positive_score").orderBy(F.desc("negative_score"), "negative_id"))
     negatives = negatives.withColumn("rank", rank).filter(F.col("rank") <= n_negatives)
     named = positives.select("key", F.col("vec_id").alias("positive_id"), F.col("score").alias("positive_score"))
