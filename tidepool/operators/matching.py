@@ -16,12 +16,13 @@ SAME, UNSURE, SAME_BY_TITLE = 87.0, 72.0, 96.0
 TAKEN = 84.0
 
 
-def overlap_join(left: DataFrame, right: DataFrame, *, pad_days: int = 0, bucket_days: int = 7, on: list[str] | None = None) -> DataFrame:
+def overlap_join(left: DataFrame, right: DataFrame, *, pad_days: int = 0, bucket_days: int = 7, on: list[str] | None = None, spread: bool = False) -> DataFrame:
     """Pairs whose runs [start, end] overlap when left's are padded by pad_days on both sides.
 
     left has l_start, l_end and right r_start, r_end (dates). A run is copied to each bucket of days it touches,
     buckets are joined by equality, and a pair is taken in the first bucket both have, so no distinct is needed.
-    A null or too early end counts as the start. `on` names further columns that must be equal.
+    A null or too early end counts as the start. `on` names further columns that must be equal. spread: as many
+    partitions as the session has, however small the sides are, for pairs that are many more than rows.
     """
     day = lambda c: F.datediff(c, F.lit("1970-01-01").cast("date"))
     bucket = lambda c: F.floor(day(c) / bucket_days)
@@ -29,7 +30,11 @@ def overlap_join(left: DataFrame, right: DataFrame, *, pad_days: int = 0, bucket
     a = left.withColumns({"_la": F.date_sub("l_start", pad_days), "_lb": F.date_add(l_end, pad_days)})
     a = a.withColumn("_b", F.explode(F.sequence(bucket(F.col("_la")), bucket(F.col("_lb")))))
     b = right.withColumns({"_ra": F.col("r_start"), "_rb": r_end}).withColumn("_b", F.explode(F.sequence(bucket(F.col("r_start")), bucket(r_end))))
-    joined = a.join(b, ["_b", *(on or [])])
+    keys = ["_b", *(on or [])]
+    if spread:
+        n = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        a, b = a.repartition(n, *keys), b.repartition(n, *keys)
+    joined = a.join(b, keys)
     hit = (F.col("_la") <= F.col("_rb")) & (F.col("_ra") <= F.col("_lb")) & (F.col("_b") == F.greatest(bucket(F.col("_la")), bucket(F.col("_ra"))))
     return joined.filter(hit).drop("_b", "_la", "_lb", "_ra", "_rb")
 
@@ -145,7 +150,7 @@ def alike_runs(left: DataFrame, right: DataFrame) -> DataFrame:
     near = near_names(titles(left), titles(right), least=least).withColumn("_score", token_set_udf("key", "candidate"))
     near = cut_lineage(near).filter(F.col("_score") >= least).select(F.col("key").alias("a_t"), F.col("candidate").alias("b_t"), "_score")
     side = lambda runs, p, q: runs.select(*(F.col(c).alias(f"{p}{c}" if c in RUN else f"{p}_{c}") for c in runs.columns), F.col("_s").alias(f"{q}_start"), F.col("_e").alias(f"{q}_end"))
-    pairs = overlap_join(side(left, "a", "l").join(near, "a_t"), side(right, "b", "r"), on=["b_t"])
+    pairs = overlap_join(side(left, "a", "l").join(near, "a_t"), side(right, "b", "r"), on=["b_t"], spread=True)
     both = (F.col("a_v") != "") & (F.col("b_v") != "")
     pairs = pairs.withColumn("used_venue", both).withColumn("_venues", token_set_udf(F.when(both, F.col("a_v")), F.when(both, F.col("b_v"))))
     pairs = pairs.withColumn("score", blended(F.col("_score"), F.when(both, F.col("_venues")))).filter(F.col("score") >= SAME)
